@@ -300,7 +300,8 @@ def price_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def property_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.property_types(gold_of(spark, sf_dir))
+    """Cleaned rows carry the same types as gold, and need no grouping first."""
+    return reports.property_types(star.market_silver(spark, sf_dir))
 
 
 def city_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,20 +7,14 @@ broadcast is left to Spark's size check.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from homespan.config import CENSUS_VARIABLES
-from homespan.functions.numeric import mean
 from homespan.functions.text import MISSING
 from homespan.schemas import MARKET_COLUMNS
 
 FEED_TABLES = ("region", "nation", "customer", "part", "orders", "lineitem", "events")
-BAD_INCOME_NATION = 7
-UNLISTED_SUFFIX_NATION = 9
-BAD_INCOME = "-666666666"
-
 
 _footers: dict[str, T.StructType] = {}
 
@@ -37,16 +31,31 @@ def _orders(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None) ->
     orders = table(spark, sf_dir, "orders")
     if years is None:
         return orders
-    start, stop = (F.lit(f"{y}-01-01 00:00:00").cast("timestamp_ntz") for y in (years[0], years[1] + 1))
-    return orders.filter((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < stop))
-
+    first, after = years[0], years[1] + 1
+    return orders.filter(
+        f"o_orderdate >= timestamp_ntz '{first}-01-01 00:00:00' AND o_orderdate < timestamp_ntz '{after}-01-01 00:00:00'"
+    )
 
-def _cents(col: Column) -> Column:
-    return F.rint(col * 100).cast("bigint")
 
+UNPRICED = "l_returnflag = 'R' AND l_linenumber = 1"
+NO_AREA = "l_returnflag = 'A' AND l_linenumber = 2"
+CENTS = "cast(rint(l_extendedprice * 100) AS bigint)"
+SOLD = "cast(l_quantity AS int)"
 
-def _whole(top: Column, bottom: Column) -> Column:
-    return F.call_function("div", top, bottom)
+MARKET_EXPRESSIONS = (
+    "n_name AS CITY",
+    "r_name AS STATE",
+    "r_name AS STATE_CODE",
+    "c_mktsegment AS PARENT_METRO_REGION",
+    "cast(o_orderdate AS date) AS PERIOD_END",
+    "p_type AS PROPERTY_TYPE",
+    f"CASE WHEN NOT ({UNPRICED}) THEN l_extendedprice END AS MEDIAN_SALE_PRICE",
+    f"CASE WHEN NOT ({UNPRICED}) THEN ({CENTS} * 101 div 100) / 100.0D END AS MEDIAN_LIST_PRICE",
+    f"CASE WHEN NOT ({NO_AREA}) THEN ({CENTS} div {SOLD}) / 100.0D END AS MEDIAN_PPSF",
+    f"{SOLD} AS HOMES_SOLD",
+    "p_size AS INVENTORY",
+    "cast((l_orderkey + 7 * l_linenumber) % 120 AS int) AS MEDIAN_DOM",
+)
 
 
 def market_values(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
@@ -57,126 +66,83 @@ def market_values(spark: SparkSession, sf_dir: str, years: tuple[int, int] | Non
     """
     places = (
         table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    )
-    dated = _orders(spark, sf_dir, years).join(places, F.col("o_custkey") == F.col("c_custkey"))
-    lines = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")
-    )
-    rows = lines.join(dated, F.col("l_orderkey") == F.col("o_orderkey"))
-
-    price = F.col("l_extendedprice")
-    sold = F.col("l_quantity").cast("int")
-    unpriced = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)
-    no_area = (F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 2)
-    return rows.select(
-        F.col("n_name").alias("CITY"),
-        F.col("r_name").alias("STATE"),
-        F.col("r_name").alias("STATE_CODE"),
-        F.col("c_mktsegment").alias("PARENT_METRO_REGION"),
-        F.col("o_orderdate").cast("date").alias("PERIOD_END"),
-        F.col("p_type").alias("PROPERTY_TYPE"),
-        F.when(~unpriced, price).alias("MEDIAN_SALE_PRICE"),
-        F.when(~unpriced, _whole(_cents(price) * 101, F.lit(100)) / F.lit(100.0)).alias("MEDIAN_LIST_PRICE"),
-        F.when(~no_area, _whole(_cents(price), sold) / F.lit(100.0)).alias("MEDIAN_PPSF"),
-        sold.alias("HOMES_SOLD"),
-        F.col("p_size").alias("INVENTORY"),
-        ((F.col("l_orderkey") + 7 * F.col("l_linenumber")) % 120).cast("int").alias("MEDIAN_DOM"),
+        .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
     )
+    dated = _orders(spark, sf_dir, years).join(places, F.expr("o_custkey = c_custkey"))
+    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
+    return lines.join(dated, F.expr("l_orderkey = o_orderkey")).selectExpr(*MARKET_EXPRESSIONS)
 
 
 def market_silver(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
     """What cleaning ``market_feed`` yields, without the way through text: typed and priced rows."""
-    values = market_values(spark, sf_dir, years).filter(F.col("MEDIAN_SALE_PRICE").isNotNull())
+    values = market_values(spark, sf_dir, years).filter("MEDIAN_SALE_PRICE IS NOT NULL")
     return values.withColumnRenamed("PERIOD_END", "PERIOD_END_DATE")
 
 
 def market_feed(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
     """The feed as it would be read from a delimited file: all text, missing cells marked."""
-    values = market_values(spark, sf_dir, years)
-    return values.select(
-        *[F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias(c) for c in MARKET_COLUMNS]
-    )
+    cells = [f"coalesce(cast({c} AS string), '{MISSING}') AS {c}" for c in MARKET_COLUMNS]
+    return market_values(spark, sf_dir, years).selectExpr(*cells)
 
 
 def place_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One place per nation with the payload's variable names, all text; customers fold before the join."""
-    balance, segment = F.col("c_acctbal"), F.col("c_mktsegment")
-    folded = (
-        table(spark, sf_dir, "customer")
-        .groupBy("c_nationkey")
-        .agg(
-            (mean(balance, exact_scale=2) * 10).alias("INCOME"),
-            (F.max(balance) * 100).alias("HOME_VALUE"),
-            F.count(F.lit(1)).alias("PEOPLE"),
-            F.count_if(segment == "BUILDING").alias("DEGREES"),
-            F.count_if(balance > 0).alias("ADULTS"),
-            F.count_if(segment == "MACHINERY").alias("MAJORITY"),
-        )
+    """One place per nation with the payload's variable names, all text; customers fold before the join.
+
+    Nation 7 carries the negative income placeholder, nation 9 a suffix that is not listed.
+    """
+    folded = table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(
+        F.expr("sum(cast(rint(c_acctbal * 100) AS bigint)) / 100.0D / count(c_acctbal) * 10 AS INCOME"),
+        F.expr("max(c_acctbal) * 100 AS HOME_VALUE"),
+        F.expr("count(*) AS PEOPLE"),
+        F.expr("count_if(c_mktsegment = 'BUILDING') AS DEGREES"),
+        F.expr("count_if(c_acctbal > 0) AS ADULTS"),
+        F.expr("count_if(c_mktsegment = 'MACHINERY') AS MAJORITY"),
     )
-    key = F.col("n_nationkey")
-    suffix = (
-        F.when(key == UNLISTED_SUFFIX_NATION, " village, Texas")
-        .when(key % 3 == 0, " city, Texas")
-        .when(key % 3 == 1, " town, Texas")
-        .otherwise(" CDP, Texas")
+    return folded.join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey")).selectExpr(
+        """n_name || CASE WHEN n_nationkey = 9 THEN ' village, Texas' WHEN n_nationkey % 3 = 0 THEN ' city, Texas'
+                          WHEN n_nationkey % 3 = 1 THEN ' town, Texas' ELSE ' CDP, Texas' END AS NAME""",
+        "CASE WHEN n_nationkey = 7 THEN '-666666666' ELSE cast(INCOME AS string) END AS B19013_001E",
+        "cast(HOME_VALUE AS string) AS B25077_001E",
+        "cast(PEOPLE AS string) AS B01003_001E",
+        "cast(DEGREES AS string) AS B15003_022E",
+        "cast(ADULTS AS string) AS B15003_001E",
+        "cast(PEOPLE AS string) AS B03002_001E",
+        "cast(MAJORITY AS string) AS B03002_003E",
+        "lpad(cast(n_regionkey AS string), 2, '0') AS state",
+        "lpad(cast(n_nationkey AS string), 5, '0') AS place",
     )
-    income = F.when(key == BAD_INCOME_NATION, BAD_INCOME).otherwise(F.col("INCOME").cast("string"))
-    cells = {
-        "NAME": F.concat("n_name", suffix),
-        "B19013_001E": income,
-        "B25077_001E": F.col("HOME_VALUE").cast("string"),
-        "B01003_001E": F.col("PEOPLE").cast("string"),
-        "B15003_022E": F.col("DEGREES").cast("string"),
-        "B15003_001E": F.col("ADULTS").cast("string"),
-        "B03002_001E": F.col("PEOPLE").cast("string"),
-        "B03002_003E": F.col("MAJORITY").cast("string"),
-        "state": F.lpad(F.col("n_regionkey").cast("string"), 2, "0"),
-        "place": F.lpad(key.cast("string"), 5, "0"),
-    }
-    joined = folded.join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == key)
-    return joined.select(*[cells[name].alias(name) for name in CENSUS_VARIABLES])
 
 
 def place_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One array-of-arrays payload per customer: a header row and one data row, header order by key."""
-    customer = table(spark, sf_dir, "customer")
-    name, balance = F.concat("c_name", F.lit(" city, Texas")), F.col("c_acctbal").cast("string")
-    straight = F.array(
-        F.array(F.lit("NAME"), F.lit("B19013_001E"), F.lit("place")),
-        F.array(name, balance, F.col("c_custkey").cast("string")),
-    )
-    turned = F.array(
-        F.array(F.lit("place"), F.lit("NAME"), F.lit("B19013_001E")),
-        F.array(F.col("c_custkey").cast("string"), name, balance),
+    """One array-of-arrays payload per customer: a header row and one data row, in two header orders."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        """to_json(CASE WHEN c_mktsegment = 'BUILDING'
+            THEN array(array('place', 'NAME', 'B19013_001E'),
+                       array(cast(c_custkey AS string), c_name || ' city, Texas', cast(c_acctbal AS string)))
+            ELSE array(array('NAME', 'B19013_001E', 'place'),
+                       array(c_name || ' city, Texas', cast(c_acctbal AS string), cast(c_custkey AS string)))
+            END) AS PAYLOAD"""
     )
-    cells = F.when(F.col("c_mktsegment") == "BUILDING", turned).otherwise(straight)
-    return customer.select(F.to_json(cells).alias("PAYLOAD"))
 
 
 def labour_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed labour points: one per error event."""
-    return (
-        table(spark, sf_dir, "events")
-        .filter(F.col("event_type") == "error")
-        .select(
-            F.lit("Dallas-Fort Worth").alias("METRO_AREA"),
-            F.year("ts").alias("YEAR"),
-            F.date_format("ts", "MMMM").alias("MONTH"),
-            F.col("value").alias("UNEMPLOYMENT_RATE"),
-        )
+    return table(spark, sf_dir, "events").filter("event_type = 'error'").selectExpr(
+        "'Dallas-Fort Worth' AS METRO_AREA",
+        "year(ts) AS YEAR",
+        "date_format(ts, 'MMMM') AS MONTH",
+        "value AS UNEMPLOYMENT_RATE",
     )
 
 
 def labour_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested response per event: a single series, named by event type, with a single point."""
-    point = F.struct(
-        F.year("ts").cast("string").alias("year"),
-        F.concat(F.lit("M"), F.date_format("ts", "MM")).alias("period"),
-        F.date_format("ts", "MMMM").alias("periodName"),
-        F.col("value").cast("string").alias("value"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        """to_json(named_struct('Results', named_struct('series', array(named_struct(
+            'seriesID', event_type,
+            'data', array(named_struct(
+                'year', date_format(ts, 'yyyy'), 'period', 'M' || date_format(ts, 'MM'),
+                'periodName', date_format(ts, 'MMMM'), 'value', cast(value AS string)))))))) AS PAYLOAD""",
     )
-    series = F.struct(F.col("event_type").alias("seriesID"), F.array(point).alias("data"))
-    body = F.struct(F.struct(F.array(series).alias("series")).alias("Results"))
-    return table(spark, sf_dir, "events").select("event_id", F.to_json(body).alias("PAYLOAD"))

@@ -22,13 +22,17 @@ def to_double(col: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def _to_whole(col: Column, kind: str) -> Column:
+    return F.coalesce(col.try_cast(kind), col.try_cast("double").try_cast(kind))
+
+
 def to_int(col: Column) -> Column:
-    """Lenient text to int through double, so that ``30.5`` gives 30 rather than null."""
-    return col.try_cast("double").try_cast("int")
+    """Lenient text to int; fractions are cut, so that ``30.5`` gives 30 rather than null."""
+    return _to_whole(col, "int")
 
 
 def to_long(col: Column) -> Column:
-    return F.coalesce(col.try_cast("bigint"), col.try_cast("double").try_cast("bigint"))
+    return _to_whole(col, "bigint")
 
 
 def to_day(col: Column) -> Column:

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from homespan.config import CENSUS_VARIABLES, LABOUR_SERIES
@@ -41,47 +43,62 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.col("_metadata.file_path").alias("PAYLOAD_FILE"), F.col("value").alias("PAYLOAD"))
 
 
-def _split(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return parsed.filter(F.col("REASON").isNull()).drop("REASON"), parsed.filter(F.col("REASON").isNotNull())
-
-
 def table_payloads(
     payloads: DataFrame, columns: Iterable[str] = tuple(CENSUS_VARIABLES), keep: Iterable[str] = ()
 ) -> Parsed:
     """Payloads whose first inner array is the header and whose others are rows, as text columns.
 
     Cells are taken by the position of their name in the payload's own header.
-    ``keep`` names columns of ``payloads`` to carry along.
+    ``keep`` names columns of ``payloads`` to carry along. The parsed body is bound once
+    inside one generator, so no payload is parsed a second time to filter or locate cells.
     """
-    columns, keep = list(columns), list(keep)
-    cells = payloads.withColumn("CELLS", F.from_json("PAYLOAD", "array<array<string>>"))
-    header = F.get("CELLS", F.lit(0))
-    cells = cells.withColumn("AT", F.array(*[F.array_position(header, F.lit(c)).cast("int") - 1 for c in columns]))
-    reason = (
-        F.when(F.col("CELLS").isNull() | header.isNull(), "unreadable")
-        .when(F.size("CELLS") < 2, "no rows")
-        .when(F.array_min("AT") < 0, "header lacks columns")
-    )
-    good, bad = _split(cells.withColumn("REASON", reason))
-    rows = good.select(*keep, "AT", F.explode(F.slice("CELLS", F.lit(2), F.size("CELLS"))).alias("CELL"))
-    picked = [F.get("CELL", F.col("AT")[i]).alias(c) for i, c in enumerate(columns)]
-    return Parsed(rows.select(*keep, *picked), bad.select(*payloads.columns, "REASON"))
+    columns, body = list(columns), F.from_json("PAYLOAD", "array<array<string>>")
+
+    def lacking(header: Column) -> Column:
+        return reduce(or_, [~F.array_contains(header, c) for c in columns])
+
+    def cells(table: Column) -> Column:
+        header = F.get(table, F.lit(0))
+        rows = F.transform(
+            F.slice(table, F.lit(2), F.size(table)),
+            lambda row: F.struct(
+                *[F.get(row, F.array_position(header, F.lit(c)).cast("int") - 1).alias(c) for c in columns]
+            ),
+        )
+        return F.when((F.size(table) > 1) & ~lacking(header), rows)
+
+    def reason(table: Column) -> Column:
+        header = F.get(table, F.lit(0))
+        return (
+            F.when(table.isNull() | header.isNull(), "unreadable")
+            .when(F.size(table) < 2, "no rows")
+            .when(lacking(header), "header lacks columns")
+        )
+
+    rows = payloads.select(*keep, F.inline(F.flatten(F.transform(F.array(body), cells))))
+    return Parsed(rows, _rejected(payloads, F.get(F.transform(F.array(body), reason), F.lit(0))))
 
 
 def series_payloads(payloads: DataFrame, keep: Iterable[str] = ()) -> Parsed:
-    """Every data point of every series: ``seriesID, year, period, periodName, value`` as text."""
+    """Every data point of every series: ``seriesID, year, period, periodName, value`` as text.
+
+    Payloads without points yield none by the way generators treat null and empty arrays,
+    so rows need no separate check.
+    """
     keep = list(keep)
-    parsed = payloads.withColumn("BODY", F.from_json("PAYLOAD", LABOUR_PAYLOAD))
-    series = F.col("BODY.Results.series")
-    has_points = F.exists(series, lambda s: F.coalesce(F.size(s["data"]) > 0, F.lit(False)))
-    reason = (
-        F.when(F.col("BODY.Results").isNull() | series.isNull(), "unreadable")
-        .when(~has_points, "no data")
-    )
-    good, bad = _split(parsed.withColumn("REASON", reason))
-    each = good.select(*keep, F.explode("BODY.Results.series").alias("S"))
+    series = F.from_json("PAYLOAD", LABOUR_PAYLOAD)["Results"]["series"]
+    each = payloads.select(*keep, F.explode(series).alias("S"))
     points = each.select(*keep, F.col("S.seriesID").alias("seriesID"), F.inline("S.data"))
-    return Parsed(points, bad.select(*payloads.columns, "REASON"))
+
+    def reason(found: Column) -> Column:
+        has_points = F.exists(found, lambda s: F.coalesce(F.size(s["data"]) > 0, F.lit(False)))
+        return F.when(found.isNull(), "unreadable").when(~has_points, "no data")
+
+    return Parsed(points, _rejected(payloads, F.get(F.transform(F.array(series), reason), F.lit(0))))
+
+
+def _rejected(payloads: DataFrame, reason: Column) -> DataFrame:
+    return payloads.withColumn("REASON", reason).filter(F.col("REASON").isNotNull())
 
 
 def labour_table(points: DataFrame, areas: Mapping[str, str] = LABOUR_SERIES) -> DataFrame:
