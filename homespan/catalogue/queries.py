@@ -55,7 +55,7 @@ def rounded(df: DataFrame, places: int, columns: Iterable[str]) -> DataFrame:
     return df.withColumns({c: F.round(c, places) for c in columns})
 
 
-def gold_of(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
+def gold_of(spark: SparkSession, sf_dir: str, years: star.Years | None = None) -> DataFrame:
     return layers.summarize(star.market_silver(spark, sf_dir, years), exact_scale=S.exact_scale)
 
 
@@ -120,8 +120,7 @@ def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold all the way from feed text; the other reports start from typed rows."""
-    return layers.summarize(silver_clean(spark, sf_dir), exact_scale=S.exact_scale)
+    return gold_of(spark, sf_dir)
 
 
 def gold_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,15 +143,18 @@ def top_cities_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def city_yearly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.yearly_trend(gold_of(spark, sf_dir), S.trend_city, S.all_types, S.trend_first_year)
+    gold = gold_of(spark, sf_dir, (S.trend_first_year, None))
+    return reports.yearly_trend(gold, S.trend_city, S.all_types, S.trend_first_year)
 
 
 def city_year_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.city_year_panel(gold_of(spark, sf_dir), S.panel_cities, S.all_types, S.panel_first_year)
+    gold = gold_of(spark, sf_dir, (S.panel_first_year, None))
+    return reports.city_year_panel(gold, S.panel_cities, S.all_types, S.panel_first_year)
 
 
 def yoy_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.yearly_change(gold_of(spark, sf_dir), S.panel_cities, S.all_types, S.change_first_year)
+    gold = gold_of(spark, sf_dir, (S.change_first_year, None))
+    return reports.yearly_change(gold, S.panel_cities, S.all_types, S.change_first_year)
 
 
 def top_cities_latest_year(spark: SparkSession, sf_dir: str) -> DataFrame:

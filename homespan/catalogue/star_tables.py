@@ -27,14 +27,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_footers[path]).parquet(path)
 
 
-def _orders(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None) -> DataFrame:
+Years = tuple[int, int | None]
+
+
+def _orders(spark: SparkSession, sf_dir: str, years: Years | None) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     if years is None:
         return orders
-    first, after = years[0], years[1] + 1
-    return orders.filter(
-        f"o_orderdate >= timestamp_ntz '{first}-01-01 00:00:00' AND o_orderdate < timestamp_ntz '{after}-01-01 00:00:00'"
-    )
+    first, last = years
+    orders = orders.filter(f"o_orderdate >= timestamp_ntz '{first}-01-01 00:00:00'")
+    return orders if last is None else orders.filter(f"o_orderdate < timestamp_ntz '{last + 1}-01-01 00:00:00'")
 
 
 UNPRICED = "l_returnflag = 'R' AND l_linenumber = 1"
@@ -42,6 +44,16 @@ NO_AREA = "l_returnflag = 'A' AND l_linenumber = 2"
 CENTS = "cast(rint(l_extendedprice * 100) AS bigint)"
 SOLD = "cast(l_quantity AS int)"
 
+LINE_EXPRESSIONS = (
+    "l_orderkey",
+    "l_partkey",
+    f"CASE WHEN NOT ({UNPRICED}) THEN l_extendedprice END AS MEDIAN_SALE_PRICE",
+    f"CASE WHEN NOT ({UNPRICED}) THEN ({CENTS} * 101 div 100) / 100.0D END AS MEDIAN_LIST_PRICE",
+    f"CASE WHEN NOT ({NO_AREA}) THEN ({CENTS} div {SOLD}) / 100.0D END AS MEDIAN_PPSF",
+    f"{SOLD} AS HOMES_SOLD",
+    "cast((l_orderkey + 7 * l_linenumber) % 120 AS int) AS MEDIAN_DOM",
+)
+
 MARKET_EXPRESSIONS = (
     "n_name AS CITY",
     "r_name AS STATE",
@@ -49,18 +61,19 @@ MARKET_EXPRESSIONS = (
     "c_mktsegment AS PARENT_METRO_REGION",
     "cast(o_orderdate AS date) AS PERIOD_END",
     "p_type AS PROPERTY_TYPE",
-    f"CASE WHEN NOT ({UNPRICED}) THEN l_extendedprice END AS MEDIAN_SALE_PRICE",
-    f"CASE WHEN NOT ({UNPRICED}) THEN ({CENTS} * 101 div 100) / 100.0D END AS MEDIAN_LIST_PRICE",
-    f"CASE WHEN NOT ({NO_AREA}) THEN ({CENTS} div {SOLD}) / 100.0D END AS MEDIAN_PPSF",
-    f"{SOLD} AS HOMES_SOLD",
+    "MEDIAN_SALE_PRICE",
+    "MEDIAN_LIST_PRICE",
+    "MEDIAN_PPSF",
+    "HOMES_SOLD",
     "p_size AS INVENTORY",
-    "cast((l_orderkey + 7 * l_linenumber) % 120 AS int) AS MEDIAN_DOM",
+    "MEDIAN_DOM",
 )
 
 
-def market_values(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
+def market_values(spark: SparkSession, sf_dir: str, years: Years | None = None) -> DataFrame:
     """Feed rows with measures still typed and missing cells null; ``years`` reaches the order scan.
 
+    Measures are worked out before the joins, so that only those a query uses are shuffled.
     Part joins first, so that a property-type filter cuts line items before they move to
     meet their orders; orders meet their city before they meet line items.
     """
@@ -70,17 +83,18 @@ def market_values(spark: SparkSession, sf_dir: str, years: tuple[int, int] | Non
         .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
     )
     dated = _orders(spark, sf_dir, years).join(places, F.expr("o_custkey = c_custkey"))
-    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
-    return lines.join(dated, F.expr("l_orderkey = o_orderkey")).selectExpr(*MARKET_EXPRESSIONS)
+    lines = table(spark, sf_dir, "lineitem").selectExpr(*LINE_EXPRESSIONS)
+    typed_lines = lines.join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
+    return typed_lines.join(dated, F.expr("l_orderkey = o_orderkey")).selectExpr(*MARKET_EXPRESSIONS)
 
 
-def market_silver(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
+def market_silver(spark: SparkSession, sf_dir: str, years: Years | None = None) -> DataFrame:
     """What cleaning ``market_feed`` yields, without the way through text: typed and priced rows."""
     values = market_values(spark, sf_dir, years).filter("MEDIAN_SALE_PRICE IS NOT NULL")
     return values.withColumnRenamed("PERIOD_END", "PERIOD_END_DATE")
 
 
-def market_feed(spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None) -> DataFrame:
+def market_feed(spark: SparkSession, sf_dir: str, years: Years | None = None) -> DataFrame:
     """The feed as it would be read from a delimited file: all text, missing cells marked."""
     cells = [f"coalesce(cast({c} AS string), '{MISSING}') AS {c}" for c in MARKET_COLUMNS]
     return market_values(spark, sf_dir, years).selectExpr(*cells)

@@ -18,8 +18,7 @@ def blank_sentinel(col: Column, sentinel: str = MISSING) -> Column:
 
 def to_double(col: Column) -> Column:
     """Lenient text to double: unreadable text and NaN both become null."""
-    value = col.try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(col.try_cast("double"), F.lit(None).cast("double"))
 
 
 def _to_whole(col: Column, kind: str) -> Column:
