@@ -6,8 +6,12 @@ def plan_text(df):
 
 
 def final_plan_text(df):
-    """What actually ran: the plan after adaptive changes, without the plans it started from."""
     df.collect()
+    return ran_plan_text(df)
+
+
+def ran_plan_text(df):
+    """What ran in a collected frame: the plan after adaptive changes, without the plans it started from."""
     kept, skip_from = [], None
     for line in plan_text(df).splitlines():
         indent = len(line) - len(line.lstrip(" :+-"))

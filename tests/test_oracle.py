@@ -1,18 +1,22 @@
 """Every registered query against another engine running its SQL over the same tables."""
 
 import math
+import os
+import re
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entrypoint
 from tests.conftest import TESTDATA
+from tests.plans import ran_plan_text
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
 ).split()
 NAMES = sorted(entrypoint.queries())
+NEVER = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "PythonUDF")
 
 
 def plain(value):
@@ -27,7 +31,10 @@ def rows_by_column(columns, rows):
     return names, sorted([tuple(plain(r[i]) for i in order) for r in rows], key=repr)
 
 
-@pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])
+SCALES = os.environ.get("ORACLE_SCALES", "sf0.01").split(",")
+
+
+@pytest.fixture(scope="module", params=SCALES)
 def scale(request):
     folder = TESTDATA / request.param
     con = duckdb.connect()
@@ -51,8 +58,11 @@ def test_same_rows(spark, scale, name):
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1])
     assert got[1] == want[1]
-    if folder.endswith("sf0.01"):
+    if not folder.endswith("sf0.001"):
         assert got[1], "empty results prove nothing"
+    plan = ran_plan_text(ours)
+    assert [word for word in NEVER if word in plan] == []
+    assert len(re.findall(r"FileScan parquet .*lineitem\.parquet", plan)) <= 1, "line items are scanned once"
 
 
 def test_entry_has_rows(spark):

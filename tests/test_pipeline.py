@@ -5,8 +5,10 @@ import json
 
 import pytest
 
+from homespan.__main__ import main
 from homespan.config import CENSUS_VARIABLES, FEED_FILES, MarketSettings, PipelinePaths
 from homespan.plans.pipeline import run_pipeline
+from homespan.plans.standard import market_reports, place_reports
 from homespan.schemas import CENSUS, GOLD, LABOUR, SILVER, schema_differences
 from homespan.sources.payloads import PayloadError
 from homespan.sources.tables import read_table
@@ -67,3 +69,21 @@ def test_a_failed_stage_stops_the_ones_after_it(spark, landed):
     with pytest.raises(PayloadError, match="unreadable"):
         run_pipeline(spark, MarketSettings(), landed)
     assert not Path(landed.ranking).exists()
+
+
+def test_every_standard_report_runs_on_the_stored_tables(spark, landed):
+    settings = MarketSettings(current_year=2024, base_year=2023, home_type="All Residential", focus_cities=None,
+                              list_floor=1, deal_floor=1, score_floor=1, panel_cities=CITIES, trend_city="Alpha")
+    done = run_pipeline(spark, settings, landed)
+    reports = market_reports(done["gold"].table, done["labour"].table, settings)
+    reports |= place_reports(done["census"].table, done["ranking"].table, settings)
+    empty = [name for name, df in reports.items() if df.isEmpty()]
+    assert empty == ["benchmark_overlap"]
+    assert values(reports["yearly_trend"], "YEAR", "TOTAL_SOLD") == [(2023, 20), (2024, 20)]
+
+
+def test_command_line_shows_a_report(spark, landed, capsys):
+    main(["--feeds", landed.feeds, "--census", landed.census_payloads, "--labour", landed.labour_payloads,
+          "--warehouse", landed.warehouse, "--report", "ranking_head"])
+    out = capsys.readouterr().out
+    assert "ranking: 2 rows" in out and "|Gamma" in out

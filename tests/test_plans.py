@@ -13,19 +13,6 @@ from tests.conftest import TESTDATA
 from tests.plans import final_plan_text, plan_text
 
 FOLDER = str(TESTDATA / "sf0.001")
-NEVER = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "PythonUDF")
-
-
-@pytest.mark.parametrize("name", sorted(entrypoint.queries()))
-def test_no_cross_joins_and_no_python(spark, name):
-    text = plan_text(entrypoint.queries()[name](spark, FOLDER))
-    assert [word for word in NEVER if word in text] == []
-
-
-@pytest.mark.parametrize("name", sorted(entrypoint.queries()))
-def test_line_items_are_scanned_once(spark, name):
-    text = final_plan_text(entrypoint.queries()[name](spark, FOLDER))
-    assert len(re.findall(r"FileScan parquet .*lineitem\.parquet", text)) <= 1
 
 
 def test_maxima_reuse_the_exchange_of_the_rows(spark):
