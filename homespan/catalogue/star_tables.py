@@ -39,19 +39,16 @@ def _orders(spark: SparkSession, sf_dir: str, years: Years | None) -> DataFrame:
     return orders if last is None else orders.filter(f"o_orderdate < timestamp_ntz '{last + 1}-01-01 00:00:00'")
 
 
-UNPRICED = "l_returnflag = 'R' AND l_linenumber = 1"
-NO_AREA = "l_returnflag = 'A' AND l_linenumber = 2"
 CENTS = "cast(rint(l_extendedprice * 100) AS bigint)"
-SOLD = "cast(l_quantity AS int)"
 
 LINE_EXPRESSIONS = (
     "l_orderkey",
     "l_partkey",
-    f"CASE WHEN NOT ({UNPRICED}) THEN l_extendedprice END AS MEDIAN_SALE_PRICE",
-    f"CASE WHEN NOT ({UNPRICED}) THEN ({CENTS} * 101 div 100) / 100.0D END AS MEDIAN_LIST_PRICE",
-    f"CASE WHEN NOT ({NO_AREA}) THEN ({CENTS} div {SOLD}) / 100.0D END AS MEDIAN_PPSF",
-    f"{SOLD} AS HOMES_SOLD",
-    "cast((l_orderkey + 7 * l_linenumber) % 120 AS int) AS MEDIAN_DOM",
+    "l_linenumber",
+    "l_extendedprice",
+    "cast(l_quantity AS int) AS HOMES_SOLD",
+    "NOT (l_returnflag = 'R' AND l_linenumber = 1) AS has_price",
+    "NOT (l_returnflag = 'A' AND l_linenumber = 2) AS has_area",
 )
 
 MARKET_EXPRESSIONS = (
@@ -61,19 +58,20 @@ MARKET_EXPRESSIONS = (
     "c_mktsegment AS PARENT_METRO_REGION",
     "cast(o_orderdate AS date) AS PERIOD_END",
     "p_type AS PROPERTY_TYPE",
-    "MEDIAN_SALE_PRICE",
-    "MEDIAN_LIST_PRICE",
-    "MEDIAN_PPSF",
+    "CASE WHEN has_price THEN l_extendedprice END AS MEDIAN_SALE_PRICE",
+    f"CASE WHEN has_price THEN ({CENTS} * 101 div 100) / 100.0D END AS MEDIAN_LIST_PRICE",
+    f"CASE WHEN has_area THEN ({CENTS} div HOMES_SOLD) / 100.0D END AS MEDIAN_PPSF",
     "HOMES_SOLD",
     "p_size AS INVENTORY",
-    "MEDIAN_DOM",
+    "cast((l_orderkey + 7 * l_linenumber) % 120 AS int) AS MEDIAN_DOM",
 )
 
 
 def market_values(spark: SparkSession, sf_dir: str, years: Years | None = None) -> DataFrame:
     """Feed rows with measures still typed and missing cells null; ``years`` reaches the order scan.
 
-    Measures are worked out before the joins, so that only those a query uses are shuffled.
+    Line items shrink to what the measures need before the joins; derived prices, which
+    compress badly, are worked out after the last shuffle.
     Part joins first, so that a property-type filter cuts line items before they move to
     meet their orders; orders meet their city before they meet line items.
     """

@@ -63,17 +63,18 @@ def average_rank(
     """Add the descending rank; ties share their mean position, cut to a whole number. Null score, null rank.
 
     Ties fold into one row per distinct score before anything is ordered, so a score that
-    many rows share costs nothing. Up to ``single_task_scores`` distinct scores are ordered
-    by one task. Beyond that, scores are cut into quantile ranges of even size, ranges are
-    ordered in parallel, and each range starts from the row count of the ranges above it.
+    many rows share costs nothing. Up to ``single_task_scores`` rows, counted first, the
+    scores are ordered by one task. Beyond that, scores are cut into quantile ranges of even
+    size, ranges are ordered in parallel, and each range starts from the row count of the
+    ranges above it. ``df`` is read more than once: pass a stored or materialized frame.
     """
-    ties = materialize(df.filter(F.col(score).isNotNull()).groupBy(score).agg(F.count(F.lit(1)).alias("TIES")))
-    distinct_scores = ties.count()
-    if distinct_scores <= single_task_scores:
+    ties = df.filter(F.col(score).isNotNull()).groupBy(score).agg(F.count(F.lit(1)).alias("TIES"))
+    if df.count() <= single_task_scores:
         above = F.sum("TIES").over(_descending(Window.orderBy(F.desc(score))))
         ranks = ties.withColumn("ABOVE", above)
     else:
-        ranks = _rows_above_by_range(ties, score, math.ceil(distinct_scores / scores_per_range))
+        ties = materialize(ties)
+        ranks = _rows_above_by_range(ties, score, math.ceil(ties.count() / scores_per_range))
     first = F.coalesce("ABOVE", F.lit(0)) + 1
     whole_rank = (first + F.floor((F.col("TIES") - 1) / 2)).cast("int")
     ranked = ranks.select(F.col(score).alias("RANKED_SCORE"), whole_rank.alias(rank))

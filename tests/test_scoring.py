@@ -60,6 +60,11 @@ def test_many_scores_in_a_narrow_band_still_cut_evenly(spark):
     assert len(sizes) == 20 and max(sizes) < 1100
 
 
+def test_one_score_for_all(spark):
+    assert ranks_of(spark, [5.0] * 10, **BY_RANGE) == pandas_rank([5.0] * 10) == [5] * 10
+    assert ranks_of(spark, [None] * 3) == [None] * 3
+
+
 def test_a_score_shared_by_a_third_of_the_rows(spark):
     scores = [80.0] * 400 + [float(i) / 10 for i in range(800)]
     assert ranks_of(spark, scores, **BY_RANGE) == pandas_rank(scores)
