@@ -63,10 +63,8 @@ def test_semi_match_folds_cities_before_the_join(spark):
 def test_ranges_never_order_all_rows_in_one_task(spark):
     df = spark.range(3000).select("id", (F.col("id") / 30).alias("OVERALL_SCORE"))
     text = plan_text(scoring.average_rank(df, single_task_scores=0, scores_per_range=100))
-    windows = re.findall(r"\bWindow \[(.*)", text)
-    unpartitioned = [w for w in windows if "windowspecdefinition(RANGE#" not in w.replace(" ", "")
-                     or "windowspecdefinition(RANGE" in w and "DESC" in w.split("windowspecdefinition(")[1].split(",")[0]]
-    assert len(windows) == 2 and len(unpartitioned) == 1 and "RANGE_ROWS" in unpartitioned[0]
+    into_one_task = re.findall(r"Exchange SinglePartition.*\n\W*(\w+)\(keys=\[(\w+)#", text)
+    assert into_one_task == [("HashAggregate", "RANGE")] and text.count("SinglePartition") == 1
 
 
 def test_stored_gold_is_pruned_by_year(spark, tmp_path):
