@@ -58,3 +58,62 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+ORACLE_SQL["op5_kd_top_k"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+ranked AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+    FROM scored)
+SELECT * FROM ranked WHERE rank <= 5
+"""
+
+ORACLE_SQL["op7_chat_windows"] = r"""
+WITH told AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+counted AS (
+    SELECT *, len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\n\x0B\f\r]')) + 4 AS tokens,
+        23 + length(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), chr(10), '&#10;')) + 1
+            + length(replace(replace(text, '&', '&amp;'), '<', '&lt;')) AS chars
+    FROM told),
+placed AS (
+    SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text
+        ROWS UNBOUNDED PRECEDING) - tokens AS begins
+    FROM counted),
+systems AS (
+    SELECT conv_id, min(begins) AS s_begins, arg_min(tokens, begins) AS s_tokens, arg_min(chars, begins) AS s_chars
+    FROM placed WHERE role = 'system' GROUP BY conv_id),
+spans AS (
+    SELECT p.*, s_begins, s_chars, greatest((1024 - 192 - coalesce(s_tokens, 0)) // 2, 192) AS span
+    FROM placed p LEFT JOIN systems USING (conv_id)),
+parts AS (SELECT *, begins // span AS block, tokens > span AS alone FROM spans),
+windows AS (
+    SELECT conv_id, block, alone, min(begins) AS window_begins, sum(chars) AS own, any_value(s_begins) AS s_begins,
+        any_value(s_chars) AS s_chars
+    FROM parts GROUP BY conv_id, block, alone),
+repeats AS (
+    SELECT w.conv_id, w.block, w.alone, sum(p.chars) AS again
+    FROM windows w JOIN parts p ON p.conv_id = w.conv_id AND p.block BETWEEN w.block - 1 AND w.block
+        AND p.begins < w.window_begins AND p.begins >= w.window_begins - 192
+        AND p.begins IS DISTINCT FROM w.s_begins
+    GROUP BY ALL),
+sizes AS (
+    SELECT conv_id, sum(own + coalesce(again, 0) + CASE WHEN s_begins < window_begins THEN s_chars ELSE 0 END)::BIGINT
+        AS formatted_chars
+    FROM windows LEFT JOIN repeats USING (conv_id, block, alone) GROUP BY conv_id),
+digests AS (
+    SELECT conv_id, count(*) AS n_turns,
+        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY begins)) AS turns_sha256,
+        coalesce(string_agg(text, '' ORDER BY begins) FILTER (role = 'assistant'), '') AS learnt
+    FROM placed GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, length(learnt) AS loss_chars, sha256(learnt) AS loss_sha256, formatted_chars
+FROM digests JOIN sizes USING (conv_id)
+"""
