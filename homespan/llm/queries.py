@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homespan.llm import chat, decontamination, kdsearch, language, licenses, packing, toxicity, warc
+from homespan.llm import attention_lm, chat, decontamination, kdsearch, language, licenses, packing, toxicity, warc
 from homespan.llm.common import id_remainder, table
 from homespan.llm.minhash import near_duplicates
 
+END_OF_TEXT = 49407
 WORD_PIECES = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -27,6 +28,15 @@ def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    learnt = documents.filter(id_remainder("doc_id", 7) != 2)
+    scored = attention_lm.score_texts(documents, learnt, WORD_PIECES, END_OF_TEXT)
+    return scored.select(
+        "doc_id", (id_remainder("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     net = language.fit_languages(documents.filter(id_remainder("doc_id", 3) != 1))
@@ -81,7 +91,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
-        op1_packing, op2_warc_derivatives, op4_language_id, op5_kd_top_k, op6_minhash_near_dedup, op7_chat_windows,
-        op8_license_scan, op9_toxicity, op10_decontamination,
+        op1_packing, op2_warc_derivatives, op3_attention_lm, op4_language_id, op5_kd_top_k, op6_minhash_near_dedup,
+        op7_chat_windows, op8_license_scan, op9_toxicity, op10_decontamination,
     )
 }
