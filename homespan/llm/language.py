@@ -166,8 +166,11 @@ def fit_languages(documents: DataFrame) -> ByteConvNet | None:
     """Train on a bounded sample of ``documents(doc_id, text, lang)``; None when nothing can be learned."""
     usable = documents.filter("lang is not null and text is not null and length(text) > 0")
     marked = usable.select("lang", "doc_id", F.xxhash64("doc_id").alias("draw"))
-    by_draw = Window.partitionBy("lang").orderBy("draw", "doc_id")
-    sample = marked.withColumn("n", F.row_number().over(by_draw)).filter(F.col("n") <= DOCS_PER_LANGUAGE)
+    # First in buckets, so that no task gathers what all input partitions offer of one language.
+    sample = marked.withColumn("bucket", F.pmod("draw", F.lit(64)))
+    for keys in (("lang", "bucket"), ("lang",)):
+        by_draw = Window.partitionBy(*keys).orderBy("draw", "doc_id")
+        sample = sample.withColumn("n", F.row_number().over(by_draw)).filter(F.col("n") <= DOCS_PER_LANGUAGE)
     picked = usable.select("lang", F.col("doc_id").cast("long"), text_bytes().alias("text")).join(
         F.broadcast(sample.select("lang", "doc_id").distinct()), ["lang", "doc_id"]
     )
