@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -105,5 +105,20 @@ def sorted_groups(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[tupl
         yield current, rows
 
 
+_held: dict = {}
+
+
+def worker_cache(key: object, make: Callable[[], object]) -> object:
+    """What a Python worker keeps between tasks: one thing at a time, so that operators' caches don't add up."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def free_worker_cache() -> None:
+    _held.clear()
+
+
 def emit(columns: dict[str, list | np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)

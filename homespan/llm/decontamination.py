@@ -19,15 +19,14 @@ they came in. Other columns are kept by ``remove_passages`` and ignored by ``pas
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from homespan.llm.common import stored, text_bytes
+from homespan.llm.common import stored, text_bytes, worker_cache
 
 BLOCK_WORDS = 1_000_000
 
@@ -160,9 +159,8 @@ class Automaton:
         return spans, items
 
 
-@lru_cache(maxsize=2)
 def _automaton(items: tuple[tuple[str, bytes], ...], window: int) -> Automaton:
-    return Automaton(((item, item_words(text)) for item, text in items), window)
+    return worker_cache((items, window), lambda: Automaton(((i, item_words(t)) for i, t in items), window))
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
@@ -196,18 +194,33 @@ def item_blocks(benchmark: DataFrame) -> Iterator[tuple[tuple[str, bytes], ...]]
 
 def passages(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """Add ``n_words``, ``spans`` (word spans [begin, end) inside occurring windows) and ``items`` to each row."""
-    spark = documents.sparkSession
-    names = documents.columns
-    if clash := {"n_words", "spans", "items", "scan_text"} & set(names):
-        raise ValueError(f"rename the columns {sorted(clash)} first")
-    now = documents.withColumn("scan_text", text_bytes())
-    for place, block in enumerate(item_blocks(benchmark)):
-        now = _scan_block(spark, now, block, window, again=place > 0)
-    return now.drop("scan_text")
+    return _passages(documents, benchmark, window)
 
 
-def _scan_block(spark: SparkSession, rows: DataFrame, block: tuple, window: int, again: bool) -> DataFrame:
-    sent = spark.sparkContext.broadcast(block)
+def _passages(documents: DataFrame, benchmark: DataFrame, window: int, finish: Callable | None = None) -> DataFrame:
+    """``finish`` takes and gives batches in the columns of ``documents`` and runs with the last block's scan."""
+    if clash := {"n_words", "spans", "items", "scan_text"} & set(documents.columns):
+        raise ValueError(f"rename the columns {sorted(clash)} first")
+    now = documents.withColumn("scan_text", text_bytes())
+    blocks = item_blocks(benchmark)
+    block, again = next(blocks), False
+    for following in blocks:
+        now = _scan_block(now, block, window, again)
+        block, again = following, True
+    if finish is None:
+        return _scan_block(now, block, window, again).drop("scan_text")
+    return _scan_block(now, block, window, again, finish, documents.schema)
+
+
+def _scan_block(
+    rows: DataFrame,
+    block: tuple,
+    window: int,
+    again: bool,
+    finish: Callable | None = None,
+    schema: T.StructType | None = None,
+) -> DataFrame:
+    sent = rows.sparkSession.sparkContext.broadcast(block)
 
     def scanned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _automaton(sent.value, window)
@@ -225,11 +238,15 @@ def _scan_block(spark: SparkSession, rows: DataFrame, block: tuple, window: int,
                 counts.append(len(words))
                 spans.append(got)
                 items.append(sorted(which))
+            if finish is not None:
+                yield finish(kept, counts, spans)
+                continue
             columns = [pa.array(x, t) for x, (_, t) in zip((counts, spans, items), FOUND, strict=True)]
             yield pa.RecordBatch.from_arrays([*kept.columns, *columns], [*kept.schema.names, *(n for n, _ in FOUND)])
 
-    kept = [f for f in rows.schema if f.name not in ("n_words", "spans", "items")]
-    schema = T.StructType([*kept, *T.StructType.fromDDL(FOUND_SQL)])
+    if schema is None:
+        kept = [f for f in rows.schema if f.name not in ("n_words", "spans", "items")]
+        schema = T.StructType([*kept, *T.StructType.fromDDL(FOUND_SQL)])
     return rows.mapInArrow(scanned, schema)
 
 
@@ -238,15 +255,6 @@ def hit_words(spans: str = "spans") -> Column:
     return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + (s[1] - s[0]))
 
 
-def _without_spans(batches: Iterable[pa.RecordBatch], longest: int) -> Iterator[pa.RecordBatch]:
-    """Cut the texts: spans of more than ``longest`` words go, with the white space and marks up to the next word."""
-    for batch in batches:
-        place = batch.schema.get_field_index("text")
-        texts, spans = batch.column(place).to_pylist(), batch.column("spans").to_pylist()
-        out = [cut_spans(t, [s for s in sp if s[1] - s[0] > longest]) for t, sp in zip(texts, spans, strict=True)]
-        yield batch.set_column(place, "text", pa.array(out, batch.schema.field(place).type))
-
-
 def cut_spans(text: str | None, spans: list[list[int]]) -> str | None:
     if not spans or text is None:
         return text
@@ -274,13 +282,21 @@ def remove_passages(
     passage of more than ``longest`` words is cut out, and ``n_chars``, if there, is counted anew.
     """
     names = documents.columns
-    found = passages(documents, benchmark, window)
-    kept = found.filter(hit_words() <= F.col("n_words") * coverage)
-    clean = kept.mapInArrow(lambda b: _without_spans(b, longest), kept.schema).select(*names)
+
+    def clean(batch: pa.RecordBatch, counts: list[int], spans: list[list[list[int]]]) -> pa.RecordBatch:
+        covered = [sum(end - begin for begin, end in found) for found in spans]
+        stay = [i for i, (hit, n) in enumerate(zip(covered, counts, strict=True)) if hit <= n * coverage]
+        batch = batch.select(names).take(pa.array(stay, pa.int64()))
+        place = batch.schema.get_field_index("text")
+        texts = batch.column(place).to_pylist()
+        cut = [cut_spans(t, [s for s in spans[i] if s[1] - s[0] > longest]) for t, i in zip(texts, stay, strict=True)]
+        return batch.set_column(place, batch.schema.field(place), pa.array(cut, batch.schema.field(place).type))
+
+    clean_rows = _passages(documents, benchmark, window, clean)
     if "n_chars" in names:
         changed = F.length("text").cast(documents.schema["n_chars"].dataType)
-        clean = clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(changed))
-    return clean
+        clean_rows = clean_rows.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(changed))
+    return clean_rows
 
 
 def digest_columns(found: DataFrame) -> DataFrame:

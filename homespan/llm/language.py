@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from homespan.llm.common import in_chunks, text_bytes
+from homespan.llm.common import free_worker_cache, in_chunks, text_bytes
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -217,6 +217,7 @@ def identify(documents: DataFrame, net: ByteConvNet | None, column: str = "text"
     sent = documents.sparkSession.sparkContext.broadcast(net)
 
     def predicted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker_cache()
         net = sent.value
         tables = net.pair_tables()
         for batch in batches:

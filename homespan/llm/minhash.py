@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from homespan.llm.common import GOLD, emit, in_chunks, mix, sorted_groups, stored, text_bytes, word_hashes
+from homespan.llm.common import GOLD, emit, free_worker_cache, in_chunks, mix, sorted_groups, stored, text_bytes, word_hashes
 from homespan.llm.graph import components
 
 COORDINATES = 48
@@ -90,6 +90,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _features(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    free_worker_cache()
     for batch in batches:
         ids, texts = (c.to_pylist() for c in batch.columns)
         for part in in_chunks(map(len, texts), CHUNK_BYTES):

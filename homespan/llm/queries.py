@@ -12,7 +12,6 @@ from homespan.llm import attention_lm, chat, decontamination, kdsearch, language
 from homespan.llm.common import id_remainder, table
 from homespan.llm.minhash import near_duplicates
 
-END_OF_TEXT = 49407
 WORD_PIECES = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -31,7 +30,7 @@ def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     learnt = documents.filter(id_remainder("doc_id", 7) != 2)
-    scored = attention_lm.score_texts(documents, learnt, WORD_PIECES, END_OF_TEXT)
+    scored = attention_lm.score_texts(documents, learnt, WORD_PIECES)
     return scored.select(
         "doc_id", (id_remainder("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )

@@ -1,89 +1,161 @@
-"""Subword ids of many texts from a public tokenizer file, with a cache of words per Python worker.
+"""Subword ids of many texts from public tokenizer files, with a cache of words per Python worker.
 
-The tokenizer cuts at white space before anything else, so the ids of a text are those of its chunks
-between ASCII white space, one after the other; each distinct chunk is encoded once while it stays in the
-cache. Texts that hold the opening of a special token are encoded whole. The cache is emptied when
-it exceeds ``CACHE_WORDS`` words, which changes no result.
+The tokenizers cut at white space before anything else, so the ids of a text are those of its words between
+ASCII white space, one after the other; each distinct word is encoded once while it stays in the cache.
+The cache is emptied when it exceeds ``CACHE_WORDS`` words, which changes no result.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from array import array
-from functools import lru_cache
+from collections.abc import Iterator
 
 import numpy as np
 
-CACHE_WORDS = 600_000
+from homespan.llm.common import word_hashes, worker_cache
 
+CACHE_WORDS = 200_000
 
-class Subwords:
-    def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.size = self.tokenizer.get_vocab_size()
+class WordCache:
+    """Ids and hashes of words; subclasses encode words that are new."""
+
+    size: int
+
+    def __init__(self) -> None:
         self._empty()
 
     def _empty(self) -> None:
         self.place: dict[bytes, int] = {}
         self.pool = array("I")
         self.begins = array("q", [0])
+        self.hashes = array("Q")
 
-    def _add(self, word: bytes, ids: list[int]) -> None:
-        self.place[word] = len(self.begins) - 1
-        self.pool.extend(ids)
-        self.begins.append(len(self.pool))
+    def _encode_new(self, words: list[bytes]) -> Iterator[list[int]]:
+        raise NotImplementedError
 
     def _learn(self, words: set[bytes]) -> None:
-        if len(self.place) > CACHE_WORDS:
+        new = list(words - self.place.keys())
+        if len(self.place) + len(new) > CACHE_WORDS:
             self._empty()
-            raise KeyError
+            new = list(words)
+        self.hashes.frombytes(word_hashes(new)[0].tobytes())
+        for word, ids in zip(new, self._encode_new(new), strict=True):
+            self.place[word] = len(self.begins) - 1
+            self.pool.extend(ids)
+            self.begins.append(len(self.pool))
+
+    def words(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the cache of the words of all texts, and where each text's words begin (one more at the end)."""
+        cut = [t.lower().split() for t in texts]
+        flat = [w for words in cut for w in words]
+        self._learn(set(flat))
+        at = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
+        return at, np.concatenate([[0], np.cumsum([len(w) for w in cut], dtype=np.int64)]).astype(np.int64)
+
+    def hashes_at(self, at: np.ndarray) -> np.ndarray:
+        """64-bit hashes of words by their places, as signed numbers."""
+        return np.array(self.hashes, np.uint64)[at].view(np.int64) if len(at) else np.zeros(0, np.int64)
+
+    def ids_at(self, at: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after the other, and where each text begins (one more at the end)."""
+        pool, begins = np.array(self.pool, np.uint32), np.array(self.begins, np.int64)
+        starts, sizes = begins[at], begins[at + 1] - begins[at]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = pool[np.arange(total) + np.repeat(starts - (ends - sizes), sizes)]
+        return ids, np.concatenate([[0], ends])[first]
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return self.ids_at(*self.words(texts))
+
+
+class Subwords(WordCache):
+    """Ids of a file of the library tokenizers; texts that hold the opening of a special token are encoded whole."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.size = self.tokenizer.get_vocab_size()
+
+    def _encode_new(self, words: list[bytes]) -> Iterator[list[int]]:
         tokenize = self.tokenizer.model.tokenize
-        other = []
+        other = [w for w in words if not _plain(w)]
+        encoded = iter(self.tokenizer.encode_batch([w.decode() for w in other], add_special_tokens=False))
         for word in words:
-            if word.isalpha():  # ASCII letters, lowered: one piece before byte pairs merge
-                self._add(word, [t.id for t in tokenize(word.decode())])
-            elif word[-1:] in b".," and word[:-1].isalpha():  # letters, then one mark: two pieces
-                self._add(word, [t.id for part in (word[:-1], word[-1:]) for t in tokenize(part.decode())])
-            else:
-                other.append(word)
-        encoded = self.tokenizer.encode_batch([w.decode() for w in other], add_special_tokens=False)
-        for word, got in zip(other, encoded, strict=True):
-            self._add(word, got.ids)
+            parts = _plain(word)
+            yield [t.id for part in parts for t in tokenize(part.decode())] if parts else next(encoded).ids
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after the other, and where each text begins (one more at the end)."""
         whole = [i for i, t in enumerate(texts) if b"<|" in t]
-        cut = [b"" if b"<|" in t else t for t in texts] if whole else texts
-        words = [t.lower().split() for t in cut]
-        counts = np.array([len(w) for w in words], dtype=np.int64)
-        flat = [w for ws in words for w in ws]
-        try:
-            self._learn(set(flat) - self.place.keys())
-        except KeyError:
-            self._learn(set(flat))
-        at = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
-        pool, begins = np.frombuffer(self.pool, np.uint32) if len(self.pool) else np.zeros(0, np.uint32), np.frombuffer(self.begins, np.int64)
-        first, sizes = begins[at], begins[at + 1] - begins[at]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = pool[np.arange(total) + np.repeat(first - (ends - sizes), sizes)]
-        word_ends = np.concatenate([[0], np.cumsum(counts)])
-        bounds = np.concatenate([[0], ends])[word_ends]
-        del pool, begins
-        if whole:
-            parts = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            for i in whole:
-                got = self.tokenizer.encode(texts[i].decode(), add_special_tokens=False).ids
-                parts[i] = np.array(got, np.uint32)
-            ids = np.concatenate(parts)
-            bounds = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-        return ids, bounds
-
-
-@lru_cache(maxsize=2)
+        if not whole:
+            return super().encode(texts)
+        ids, bounds = super().encode([b"" if b"<|" in t else t for t in texts])
+        parts = [ids[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        for i in whole:
+            parts[i] = np.array(self.tokenizer.encode(texts[i].decode(), add_special_tokens=False).ids, np.uint32)
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+
+
+def _plain(word: bytes) -> tuple[bytes, ...]:
+    """The pieces of a word that need no rules: ASCII letters, or those and one mark; else nothing."""
+    if word.isalpha():
+        return (word,)
+    return (word[:-1], word[-1:]) if word[-1:] in (b".", b",") and word[:-1].isalpha() else ()
+
+
+WORD_END = "\0"
+_RUNS = re.compile(r"[^\W\d_]+|\d|(?:[^\w\s]|_)+|\s+")
+
+
+class LetterRuns(WordCache):
+    """Pieces of runs of letters, digits and marks over the vocabulary of a file with word ends, merged by tiktoken.
+
+    They need not be those of the file's own library, which normalises characters and merges by its own list.
+    """
+
+    def __init__(self, path: str):
+        super().__init__()
+        import tiktoken
+
+        with open(path, encoding="utf-8") as file:
+            stored = json.load(file)
+        vocabulary, added = stored["model"]["vocab"], {t["content"]: t["id"] for t in stored["added_tokens"]}
+        byte_of = {c: b for b, c in _byte_letters().items()}
+        ranks = {}
+        for piece, number in vocabulary.items():
+            body = piece.removesuffix("</w>")
+            if all(c in byte_of for c in body):
+                ranks[bytes(byte_of[c] for c in body) + WORD_END.encode() * (body != piece)] = number
+        alone = max(*vocabulary.values(), *added.values()) + 1
+        ranks.setdefault(WORD_END.encode(), alone)
+        self.size, self.end_id = alone + 1, added["<|endoftext|>"]
+        self.encoding = tiktoken.Encoding("words", pat_str=r"[^\x00]*\x00", mergeable_ranks=ranks, special_tokens={})
+
+    def _encode_new(self, words: list[bytes]) -> Iterator[list[int]]:
+        encode = self.encoding.encode_ordinary
+        for word in words:
+            text = word.decode("utf-8", "replace").replace(WORD_END, "\1")
+            yield encode((text if text.isalpha() else WORD_END.join(_RUNS.findall(text))) + WORD_END)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: itself where printable, else from 256 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 def subwords(path: str) -> Subwords:
     """One tokenizer and cache per worker and file."""
-    return Subwords(path)
+    return worker_cache(("subwords", path), lambda: Subwords(path))
+
+
+def letter_runs(path: str) -> LetterRuns:
+    return worker_cache(("letter runs", path), lambda: LetterRuns(path))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from homespan.llm.common import text_bytes
+from homespan.llm.common import free_worker_cache, text_bytes
 
 TRAIN_ROWS = 6000
 MOST_WORDS = 2000
@@ -220,6 +220,7 @@ def score_toxicity(documents: DataFrame, chain: Chain, column: str = "text") ->
     sent = documents.sparkSession.sparkContext.broadcast(chain)
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_worker_cache()
         chain = sent.value
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(column)).cast(pa.binary()).to_pylist()
