@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from homespan.config import MarketSettings, PipelinePaths
 from homespan.plans.pipeline import run_pipeline
 from homespan.plans.standard import market_reports, place_reports
+from homespan.sources.tables import write_table
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -19,6 +20,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--warehouse", required=True, help="folder for the layer tables")
     parser.add_argument("--format", default="parquet", help="table format, such as parquet or delta")
     parser.add_argument("--report", action="append", default=[], help="report to show; may be repeated")
+    parser.add_argument("--rows", type=int, default=50, help="rows of each report to show")
+    parser.add_argument("--report-tables", help="folder to write the named reports to, whole, as tables")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("homespan").getOrCreate()
@@ -31,7 +34,9 @@ def main(argv: list[str] | None = None) -> None:
     reports = market_reports(gold, labour, settings)
     reports |= place_reports(done["census"].table, done["ranking"].table, settings)
     for name in args.report:
-        reports[name].show(50, truncate=False)
+        reports[name].show(args.rows, truncate=False)
+        if args.report_tables:
+            write_table(reports[name], f"{args.report_tables}/{name}", args.format)
 
 
 if __name__ == "__main__":

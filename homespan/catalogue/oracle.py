@@ -314,4 +314,11 @@ FROM gold WHERE YEAR BETWEEN 1995 AND 2000 GROUP BY YEAR, PROPERTY_TYPE""",
     "kpi_cards": f"""
 WITH {GOLD} SELECT CAST(sum(TOTAL_HOMES_SOLD) AS BIGINT) AS TOTAL_HOMES_SOLD,
        round(avg(AVG_SALE_PRICE), 4) AS AVG_PRICE FROM gold""",
+    "customer_ranks": """
+WITH s AS (SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN floor(c_acctbal / 10)::DOUBLE END AS "OVERALL_SCORE" FROM customer)
+SELECT *, CASE WHEN "OVERALL_SCORE" IS NOT NULL THEN CAST(
+    count("OVERALL_SCORE") OVER (ORDER BY "OVERALL_SCORE" DESC NULLS LAST RANGE UNBOUNDED PRECEDING)
+    - count(*) OVER (PARTITION BY "OVERALL_SCORE") + 1
+    + (count(*) OVER (PARTITION BY "OVERALL_SCORE") - 1) // 2 AS INTEGER) END AS "RANK"
+FROM s""",
 }

@@ -29,6 +29,7 @@ SETTINGS = MarketSettings(
     base_year=1995,
     ranking_year=2000,
     labour_year=2024,
+    labour_metro="error",
     list_floor=1400,
     deal_floor=1400,
     score_floor=1400,
@@ -176,7 +177,7 @@ def appreciation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unemployment_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return labour.yearly_rate(star.labour_rates(spark, sf_dir), S.labour_year, S.exact_scale)
+    return labour.yearly_rate(star.labour_rates(spark, sf_dir), S.labour_metro, S.labour_year, S.exact_scale)
 
 
 def investment_score(
@@ -193,6 +194,7 @@ def investment_score(
         price_cap,
         S.focus_cities,
         exact_scale=S.exact_scale,
+        metro=S.labour_metro,
     )
     return rounded(scored, 6, ["Appreciation_Pct", "Annualized_Return_Pct", "Investment_Score"])
 
@@ -209,6 +211,7 @@ def _ultimate(spark: SparkSession, sf_dir: str, integer_volume_ratio: bool) -> D
         S.focus_cities,
         integer_volume_ratio,
         exact_scale=S.exact_scale,
+        metro=S.labour_metro,
     )
     return rounded(scored, 6, ["Ultimate_Score"])
 
@@ -255,6 +258,7 @@ def city_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
         S.all_types,
         S.labour_year,
         exact_scale=S.exact_scale,
+        metro=S.labour_metro,
     )
 
 
@@ -267,6 +271,13 @@ def city_scores_profile_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.composite_ranking(combined, WEIGHTS_A, drop_bad_income=False)
 
 
+def customer_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer ranked by its balance in tens, which many share; balances below zero are unscored."""
+    balance = F.col("c_acctbal")
+    score = F.when(balance >= 0, F.floor(balance / 10).cast("double")).alias("OVERALL_SCORE")
+    return scoring.average_rank(star.table(spark, sf_dir, "customer").select("c_custkey", score))
+
+
 def _listing(ranked: DataFrame) -> DataFrame:
     return ranked.select("RANK", "CITY", "OVERALL_SCORE", "MEDIAN_INCOME", "AVG_SALE_PRICE", "BACHELORS_PCT")
 
@@ -322,7 +333,7 @@ QUERIES: dict[str, Query] = {
         price_ranges, price_extremes, top_cities_report, city_yearly_trend, city_year_panel, yoy_change,
         top_cities_latest_year, top_cities_min_volume, deal_score, appreciation, unemployment_year,
         investment_score, ultimate_score, ultimate_score_intdiv, city_profile, largest_places, city_semi_match,
-        city_search, city_combined, city_scores, city_scores_profile_a, ranking_head, ranking_tail,
+        city_search, city_combined, customer_ranks, city_scores, city_scores_profile_a, ranking_head, ranking_tail,
         benchmark_overlap, benchmark_agreement, benchmark_lookup, price_trend, property_types, city_metrics,
         kpi_cards,
     )

@@ -139,9 +139,9 @@ def place_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labour_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed labour points: one per error event."""
-    return table(spark, sf_dir, "events").filter("event_type = 'error'").selectExpr(
-        "'Dallas-Fort Worth' AS METRO_AREA",
+    """Typed labour points: one per event, with the event type as metro."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_type AS METRO_AREA",
         "year(ts) AS YEAR",
         "date_format(ts, 'MMMM') AS MONTH",
         "value AS UNEMPLOYMENT_RATE",

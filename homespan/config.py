@@ -93,6 +93,7 @@ class MarketSettings:
     base_year: int = 2020
     ranking_year: int = 2024
     labour_year: int = 2024
+    labour_metro: str = "Dallas-Fort Worth"
     list_floor: int = 10
     deal_floor: int = 20
     score_floor: int = 50

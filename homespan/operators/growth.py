@@ -78,4 +78,6 @@ def total_appreciation(current: Column, base: Column) -> Column:
 
 def annualized_return(current: Column, base: Column, years: int) -> Column:
     """Yearly percent that compounds to the total gain; null unless the base is positive."""
+    if years == 0:
+        raise ValueError("the years of the two prices are equal")
     return F.when(base > 0, (F.pow(ratio(current, base), F.lit(1.0 / years)) - 1) * 100)

@@ -27,11 +27,13 @@ def combine(
     labour_year: int,
     key: str | Sequence[str] = "CITY",
     exact_scale: int | None = None,
+    *,
+    metro: str,
 ) -> DataFrame:
-    """Places with their market year (inner join on ``key``; null keys never match) and the yearly rate."""
+    """Places with their market year (inner join on ``key``; null keys never match) and the metro's yearly rate."""
     keys = [key] if isinstance(key, str) else list(key)
     market = market_of_year(gold, year, property_type).select(*keys, *MARKET_COLUMNS)
-    rate = one_value(overall_rate(labour, labour_year, exact_scale), "AVG_UNEMPLOYMENT_RATE")
+    rate = one_value(overall_rate(labour, metro, labour_year, exact_scale), "AVG_UNEMPLOYMENT_RATE")
     return places.join(market, keys, "inner").withColumn("UNEMPLOYMENT_RATE", rate)
 
 

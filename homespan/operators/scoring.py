@@ -7,15 +7,13 @@ from collections.abc import Mapping
 from functools import reduce
 from operator import add
 
-from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from homespan.config import HIGHER_IS_BETTER, LOWER_IS_BETTER, WEIGHTS_B
 from homespan.functions.numeric import ratio
-from homespan.sources.tables import materialize
 
-SINGLE_TASK_SCORES = 100_000
+RANK_RANGES = 200
 
 
 def with_good_income(combined: DataFrame) -> DataFrame:
@@ -54,53 +52,33 @@ def weighted_score(weights: Mapping[str, float]) -> Column:
 
 
 def average_rank(
-    df: DataFrame,
-    score: str = "OVERALL_SCORE",
-    rank: str = "RANK",
-    single_task_scores: int = SINGLE_TASK_SCORES,
-    scores_per_range: int = 1_000_000,
+    df: DataFrame, score: str = "OVERALL_SCORE", rank: str = "RANK", ranges: int = RANK_RANGES
 ) -> DataFrame:
-    """Add the descending rank; ties share their mean position, cut to a whole number. Null score, null rank.
+    """Add the descending rank; ties share their mean position, cut to a whole number.
 
-    Ties fold into one row per distinct score before anything is ordered, so a score that
-    many rows share costs nothing. Up to ``single_task_scores`` rows, counted first, the
-    scores are ordered by one task. Beyond that, scores are cut into quantile ranges of even
-    size, ranges are ordered in parallel, and each range starts from the row count of the
-    ranges above it. ``df`` is read more than once: pass a stored or materialized frame.
+    Null and NaN scores have a null rank; infinite scores are ranked. Ties fold into one row per distinct score,
+    scores are cut at their quantiles into ``ranges`` ranges, ranges are ordered in parallel, and each starts from the
+    row count of the ranges above it. The same plan serves every size. ``df`` is read more than
+    once: pass a stored or materialized frame.
     """
-    ties = df.filter(F.col(score).isNotNull()).groupBy(score).agg(F.count(F.lit(1)).alias("TIES"))
-    if df.count() <= single_task_scores:
-        above = F.sum("TIES").over(_descending(Window.orderBy(F.desc(score))))
-        ranks = ties.withColumn("ABOVE", above)
-    else:
-        ties = materialize(ties)
-        ranks = _rows_above_by_range(ties, score, math.ceil(ties.count() / scores_per_range))
-    first = F.coalesce("ABOVE", F.lit(0)) + 1
-    whole_rank = (first + F.floor((F.col("TIES") - 1) / 2)).cast("int")
-    ranked = ranks.select(F.col(score).alias("RANKED_SCORE"), whole_rank.alias(rank))
-    return df.join(ranked, df[score] == ranked["RANKED_SCORE"], "left").drop("RANKED_SCORE")
-
-
-def _descending(ordered: Window) -> Window:
-    return ordered.rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _rows_above_by_range(ties: DataFrame, score: str, ranges: int) -> DataFrame:
-    ranges = max(ranges, 2)
-    cutter = QuantileDiscretizer(
-        numBuckets=ranges, inputCol=score, outputCol="RANGE", relativeError=min(0.001, 0.1 / ranges)
-    )
-    cut = cutter.fit(ties).transform(ties)
+    scored = df.filter(F.col(score).isNotNull() & ~F.isnan(score))
+    ties = scored.groupBy(score).agg(F.count(F.lit(1)).alias("TIES"))
+    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    cuts = scored.agg(F.percentile_approx(score, shares, 50 * ranges).alias("CUTS")).scalar()
+    cut = ties.withColumn("CUTS", cuts).withColumn("RANGE", F.size(F.filter("CUTS", lambda c: c <= F.col(score))))
     # One row per range, so this window and the broadcast are bounded by the number of ranges.
     sizes = cut.groupBy("RANGE").agg(F.sum("TIES").alias("RANGE_ROWS"))
     start = F.sum("RANGE_ROWS").over(_descending(Window.orderBy(F.desc("RANGE"))))
     starts = sizes.select("RANGE", F.coalesce(start, F.lit(0)).alias("RANGE_START"))
     within = F.sum("TIES").over(_descending(Window.partitionBy("RANGE").orderBy(F.desc(score))))
-    return (
-        cut.join(F.broadcast(starts), "RANGE")
-        .withColumn("ABOVE", F.col("RANGE_START") + F.coalesce(within, F.lit(0)))
-        .select(score, "TIES", "ABOVE")
-    )
+    above = F.col("RANGE_START") + F.coalesce(within, F.lit(0))
+    whole_rank = (above + 1 + F.floor((F.col("TIES") - 1) / 2)).cast("int")
+    ranks = cut.join(F.broadcast(starts), "RANGE").select(F.col(score).alias("RANKED_SCORE"), whole_rank.alias(rank))
+    return df.join(ranks, df[score] == ranks["RANKED_SCORE"], "left").drop("RANKED_SCORE")
+
+
+def _descending(ordered: Window) -> Window:
+    return ordered.rowsBetween(Window.unboundedPreceding, -1)
 
 
 def composite_ranking(

@@ -76,6 +76,7 @@ def run_ranking(
         settings.all_types,
         settings.labour_year,
         exact_scale=settings.exact_scale,
+        metro=settings.labour_metro,
     )
     stored = _store(spark, combined, paths.combined, paths.fmt)
     ranking = composite_ranking(stored.table, settings.weights)

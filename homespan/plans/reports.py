@@ -232,9 +232,11 @@ def investment_score(
     cities: Iterable[str] | None = None,
     n: int = 20,
     exact_scale: int | None = None,
+    *,
+    metro: str,
 ) -> DataFrame:
     """Lowest score is best: cheap, appreciating, low unemployment. Empty when the labour year is absent."""
-    rate = yearly_rate(labour, labour_year, exact_scale)
+    rate = yearly_rate(labour, metro, labour_year, exact_scale)
     found = one_value(rate.select(F.struct("AVG_UNEMPLOYMENT_RATE").alias("RATE")), "RATE")
     gain = F.coalesce("Annualized_Return_Pct", F.lit(0.0))
     score = F.col("Current_Price") / 100_000.0 * 0.3 + (100 - gain) * 0.5 + F.col("Unemployment_Rate") * 0.2
@@ -265,6 +267,8 @@ def ultimate_score(
     integer_volume_ratio: bool = False,
     n: int = 20,
     exact_scale: int | None = None,
+    *,
+    metro: str,
 ) -> DataFrame:
     """Price, speed, volume, appreciation and unemployment in one score; lowest is best.
 
@@ -296,7 +300,7 @@ def ultimate_score(
             {
                 "TOP": one_value(maxima, "TOP"),
                 "Unemployment_Rate": one_value(
-                    overall_rate(labour, labour_year, exact_scale), "AVG_UNEMPLOYMENT_RATE"
+                    overall_rate(labour, metro, labour_year, exact_scale), "AVG_UNEMPLOYMENT_RATE"
                 ),
             }
         )

@@ -23,11 +23,11 @@ def market_reports(gold: DataFrame, labour: DataFrame, settings: MarketSettings)
         "best_deals": reports.best_deals(gold, s.home_type, s.current_year, s.deal_floor),
         "investment_score": reports.investment_score(
             gold, labour, s.home_type, s.current_year, s.base_year, s.labour_year, s.score_floor, s.price_cap,
-            s.focus_cities, exact_scale=s.exact_scale,
+            s.focus_cities, exact_scale=s.exact_scale, metro=s.labour_metro,
         ),
         "ultimate_score": reports.ultimate_score(
             gold, labour, s.home_type, s.current_year, s.base_year, s.labour_year, s.score_floor,
-            s.focus_cities, exact_scale=s.exact_scale,
+            s.focus_cities, exact_scale=s.exact_scale, metro=s.labour_metro,
         ),
         "top_cities": reports.top_cities(gold, s.all_types, s.ranking_year),
         "yearly_trend": reports.yearly_trend(gold, s.trend_city, s.all_types, s.trend_first_year),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -72,8 +71,8 @@ def verify_table(spark: SparkSession, written: Written) -> DataFrame:
 
 def open_view(spark: SparkSession, path: str, name: str, fmt: str = "parquet") -> DataFrame:
     """Name a stored table for SQL in this session."""
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW `{name}` USING {fmt} OPTIONS (path '{path}')")
-    return spark.table(name)
+    read_table(spark, path, fmt).createOrReplaceTempView(name)
+    return spark.table(f"`{name.replace('`', '``')}`")
 
 
 def name_view(df: DataFrame, name: str) -> DataFrame:
@@ -92,9 +91,7 @@ def _shared_checkpoint_dir(spark: SparkSession) -> None:
         return
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="homespan-")
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that the driver and all executors share")
     context.setCheckpointDir(folder)
 
 

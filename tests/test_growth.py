@@ -52,7 +52,16 @@ def test_guarded_appreciation(spark, base, total):
 
 def test_q11_absent_year_gives_no_group_but_one_overall_row(spark):
     points = rates(spark, (2024, 4.0), (2024, 5.0), (2022, 1.0), (2024, None))
-    assert values(labour.yearly_rate(points, 2024)) == [(2024, 4.5)]
-    assert values(labour.yearly_rate(points, 2023)) == []
-    assert values(labour.overall_rate(points, 2023)) == [(None,)]
-    assert values(labour.overall_rate(points, 2024, exact_scale=2)) == [(4.5,)]
+    assert values(labour.yearly_rate(points, "Metro", 2024)) == [(2024, 4.5)]
+    assert values(labour.yearly_rate(points, "Metro", 2023)) == []
+    assert values(labour.overall_rate(points, "Metro", 2023)) == [(None,)]
+    assert values(labour.overall_rate(points, "Metro", 2024, exact_scale=2)) == [(4.5,)]
+
+
+def test_other_metros_do_not_blend_into_the_rate(spark):
+    from homespan.schemas import LABOUR
+
+    points = spark.createDataFrame([("A", 2024, "January", 4.0), ("B", 2024, "January", 10.0)], LABOUR)
+    assert values(labour.yearly_rate(points, "A", 2024)) == [(2024, 4.0)]
+    assert values(labour.overall_rate(points, "A", 2024)) == [(4.0,)]
+    assert values(labour.yearly_rate(points, "C", 2024)) == []

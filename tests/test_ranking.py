@@ -39,9 +39,9 @@ def test_q6_combine_multiplies_duplicates_and_drops_null_keys(spark):
     )
     market = gold(spark, ("A", 2024, T, 10.0, 1, 2.0), ("A", 2023, T, 99.0, 1, 2.0), ("A", 2024, "Condo", 98.0, 1, 2.0),
                   (None, 2024, T, 97.0, 1, 2.0))
-    combined = ranking.combine(places, market, labour(spark, (2024, 4.0), (2024, 6.0)), 2024, T, 2024)
+    combined = ranking.combine(places, market, labour(spark, (2024, 4.0), (2024, 6.0)), 2024, T, 2024, metro="Metro")
     assert values(combined, "CITY", "AVG_SALE_PRICE", "UNEMPLOYMENT_RATE") == [("A", 10.0, 5.0)] * 2
-    empty_year = ranking.combine(places, market, labour(spark, (2024, 4.0)), 2024, T, 2023)
+    empty_year = ranking.combine(places, market, labour(spark, (2024, 4.0)), 2024, T, 2023, metro="Metro")
     assert values(empty_year, "UNEMPLOYMENT_RATE") == [(None,)] * 2
 
 

@@ -67,7 +67,7 @@ PAIRS = (
 
 def test_investment_score(spark):
     rates = labour(spark, (2024, 4.0))
-    got = values(reports.investment_score(gold(spark, *PAIRS), rates, T, 2025, 2020, 2024, 50, 600_000.0))
+    got = values(reports.investment_score(gold(spark, *PAIRS), rates, T, 2025, 2020, 2024, 50, 600_000.0, metro="Metro"))
     assert [r[0] for r in got] == ["A", "B", "F"]
     yearly = (2 ** 0.2 - 1) * 100
     assert got[0][-3:] == pytest.approx((100.0, yearly, 4 * 0.3 + (100 - yearly) * 0.5 + 0.8))
@@ -76,14 +76,14 @@ def test_investment_score(spark):
 
 def test_q11_absent_labour_year_empties_one_report_and_nulls_the_other(spark):
     market, rates = gold(spark, *PAIRS), labour(spark, (2022, 4.0))
-    assert values(reports.investment_score(market, rates, T, 2025, 2020, 2024, 50, 600_000.0)) == []
-    rows = values(reports.ultimate_score(market, rates, T, 2025, 2020, 2024, 50), "CITY", "Unemployment_Rate", "Ultimate_Score")
+    assert values(reports.investment_score(market, rates, T, 2025, 2020, 2024, 50, 600_000.0, metro="Metro")) == []
+    rows = values(reports.ultimate_score(market, rates, T, 2025, 2020, 2024, 50, metro="Metro"), "CITY", "Unemployment_Rate", "Ultimate_Score")
     assert sorted(rows) == [(c, None, None) for c in "ABCF"]
 
 
 def test_year_with_only_null_rates_keeps_rows(spark):
     rates = labour(spark, (2024, None))
-    got = values(reports.investment_score(gold(spark, *PAIRS), rates, T, 2025, 2020, 2024, 50, 600_000.0), "Investment_Score")
+    got = values(reports.investment_score(gold(spark, *PAIRS), rates, T, 2025, 2020, 2024, 50, 600_000.0, metro="Metro"), "Investment_Score")
     assert got == [(None,)] * 3
 
 
@@ -91,7 +91,7 @@ def test_q1_ultimate_score_with_true_and_whole_volume_ratio(spark):
     market, rates = gold(spark, *PAIRS), labour(spark, (2024, 4.0))
 
     def scores(whole):
-        df = reports.ultimate_score(market, rates, T, 2025, 2020, 2024, 50, integer_volume_ratio=whole)
+        df = reports.ultimate_score(market, rates, T, 2025, 2020, 2024, 50, integer_volume_ratio=whole, metro="Metro")
         return dict(values(df, "CITY", "Ultimate_Score"))
 
     def expected(price, days, share, gain):
@@ -105,7 +105,7 @@ def test_q1_ultimate_score_with_true_and_whole_volume_ratio(spark):
 
 
 def test_focus_list_limits_rows_and_maxima(spark):
-    df = reports.ultimate_score(gold(spark, *PAIRS), labour(spark, (2024, 0.0)), T, 2025, 2020, 2024, 50, ["B"])
+    df = reports.ultimate_score(gold(spark, *PAIRS), labour(spark, (2024, 0.0)), T, 2025, 2020, 2024, 50, ["B"], metro="Metro")
     assert values(df, "CITY", "Ultimate_Score") == [("B", 25.0 + 20.0 + 0.0 + 25.0 + 0.0)]
 
 

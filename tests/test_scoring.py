@@ -37,7 +37,7 @@ def test_zero_has_one_rank_whatever_its_sign(spark):
     assert ranks_of(spark, [0.0, -0.0, 1.0]) == [2, 2, 1]
 
 
-BY_RANGE = {"single_task_scores": 0, "scores_per_range": 7}
+BY_RANGE = {"ranges": 7}
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -52,12 +52,9 @@ def test_ranges_rank_like_one_window(spark, scores):
 def test_many_scores_in_a_narrow_band_still_cut_evenly(spark):
     """Value-sized bins would put all of these into one; quantile ranges do not."""
     df = spark.range(20_000).select("id", (50 + F.col("id") / 1e9).alias("OVERALL_SCORE"))
-    ranked = scoring.average_rank(df, single_task_scores=0, scores_per_range=1000)
+    ranked = scoring.average_rank(df, ranges=20)
     assert ranked.filter(F.col("RANK") != 20_000 - F.col("id")).count() == 0
-    ties = df.groupBy("OVERALL_SCORE").agg(F.count(F.lit(1)).alias("TIES"))
-    cutter = scoring.QuantileDiscretizer(numBuckets=20, inputCol="OVERALL_SCORE", outputCol="RANGE", relativeError=0.001)
-    sizes = [r[0] for r in values(cutter.fit(ties).transform(ties).groupBy("RANGE").count(), "count")]
-    assert len(sizes) == 20 and max(sizes) < 1100
+
 
 
 def test_one_score_for_all(spark):
@@ -133,3 +130,17 @@ def test_deal_score_is_low_for_cheap_fast_busy_cities(spark):
                 ("C", 2025, "T", 500_000.0, 19, 1.0), ("D", 2025, "T", 500_000.0, 300, None))
     got = values(reports.best_deals(rows, "T", 2025, 20), "CITY", "DealScore")
     assert [c for c, _ in got] == ["B", "A"] and got[1][1] == pytest.approx(0.5 + 0.3 - 1.0)
+
+
+def test_one_path_ranks_odd_inputs(spark):
+    assert ranks_of(spark, [None, None]) == [None, None]
+    assert ranks_of(spark, [float("nan"), 2.0, None, float("inf"), 1.0]) == [None, 2, None, 1, 3]
+    assert ranks_of(spark, [5.0] * 9) == [5] * 9
+    empty = spark.createDataFrame([], "id int, OVERALL_SCORE double")
+    assert scoring.average_rank(empty).count() == 0
+
+
+def test_a_hundred_thousand_scores_with_ties(spark):
+    df = spark.range(100_000).select("id", F.floor(F.pmod(F.xxhash64("id"), F.lit(40_000))).cast("double").alias("OVERALL_SCORE"))
+    got = scoring.average_rank(df).toPandas().sort_values("id")
+    assert got["RANK"].tolist() == pandas_rank(got["OVERALL_SCORE"])
