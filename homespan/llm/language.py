@@ -37,6 +37,7 @@ DOCS_PER_LANGUAGE = 400
 WINDOWS_PER_DOC = 8
 BATCH_WINDOWS = 512
 EPOCHS = 8
+LEAST_STEPS = 300
 UNKNOWN = "und"
 LEAST_SCORE = 0.35
 
@@ -107,7 +108,8 @@ class ByteConvNet:
         raw, _ = self.maxima(x, tables)
         return _softmax(np.maximum(raw + self.weights["bias"], 0) @ self.weights["out"] + self.weights["prior"])
 
-    def fit(self, x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, batch: int = 128, rate: float = 0.004) -> None:
+    def fit(self, x: np.ndarray, y: np.ndarray, batch: int = 128, rate: float = 0.004) -> None:
+        epochs = max(EPOCHS, -(-LEAST_STEPS * batch // len(x)))
         draw = np.random.default_rng(11)
         moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.weights.items()}
         step = 0
