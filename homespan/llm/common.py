@@ -52,7 +52,8 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _powers = np.ones(1, dtype=np.uint64)
 
 
-def _power_table(n: int) -> np.ndarray:
+def power_table(n: int) -> np.ndarray:
+    """Powers of the hash base, at least ``n``."""
     global _powers
     if len(_powers) < n:
         with np.errstate(over="ignore"):
@@ -74,7 +75,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     sizes = ends - starts
     offsets = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     place = np.arange(int(sizes.sum())) - np.repeat(offsets, sizes)
-    powers = _power_table(int(sizes.max()) + 1)
+    powers = power_table(int(sizes.max()) + 1)
     weighed = (raw[inside].astype(np.uint64) + np.uint64(1)) * powers[place]
     return mix(np.add.reduceat(weighed, offsets) + sizes.astype(np.uint64) * GOLD), first_word
 

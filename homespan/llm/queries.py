@@ -29,8 +29,7 @@ def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    learnt = documents.filter(id_remainder("doc_id", 7) != 2)
-    scored = attention_lm.score_texts(documents, learnt, WORD_PIECES)
+    scored = attention_lm.score_texts(documents, id_remainder("doc_id", 7) != 2, WORD_PIECES)
     return scored.select(
         "doc_id", (id_remainder("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )

@@ -11,17 +11,17 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 
-from homespan.llm.common import word_hashes, worker_cache
+from homespan.llm.common import worker_cache
 
 CACHE_WORDS = 200_000
 
 
 class WordCache:
-    """Ids and hashes of words; subclasses encode words that are new."""
+    """Ids of words; subclasses encode words that are new."""
 
     size: int
 
@@ -32,33 +32,37 @@ class WordCache:
         self.place: dict[bytes, int] = {}
         self.pool = array("I")
         self.begins = array("q", [0])
-        self.hashes = array("Q")
 
-    def _encode_new(self, words: list[bytes]) -> Iterator[list[int]]:
+    def _encode_new(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after the other, and how many each word has."""
         raise NotImplementedError
 
-    def _learn(self, words: set[bytes]) -> None:
-        new = list(words - self.place.keys())
-        if len(self.place) + len(new) > CACHE_WORDS:
-            self._empty()
-            new = list(words)
-        self.hashes.frombytes(word_hashes(new)[0].tobytes())
-        for word, ids in zip(new, self._encode_new(new), strict=True):
-            self.place[word] = len(self.begins) - 1
-            self.pool.extend(ids)
-            self.begins.append(len(self.pool))
+    def _learn(self, words: list[bytes]) -> None:
+        ids, sizes = self._encode_new(words)
+        first = len(self.place)
+        self.place.update(zip(words, range(first, first + len(words)), strict=True))
+        ends = np.cumsum(sizes, dtype=np.int64) + len(self.pool)
+        self.pool.frombytes(ids.astype(np.uint32).tobytes())
+        self.begins.frombytes(ends.tobytes())
 
     def words(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Places in the cache of the words of all texts, and where each text's words begin (one more at the end)."""
         cut = [t.lower().split() for t in texts]
-        flat = [w for words in cut for w in words]
-        self._learn(set(flat))
-        at = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
+        flat = list(chain.from_iterable(cut))
+        at = np.fromiter(map(self.place.get, flat, repeat(-1)), np.int64, len(flat))
+        missing = np.flatnonzero(at < 0)
+        new = dict.fromkeys(map(flat.__getitem__, missing))
+        if new and len(self.place) + len(new) > CACHE_WORDS:
+            self._empty()
+            missing, new = np.arange(len(flat)), dict.fromkeys(flat)
+        if new:
+            self._learn(list(new))
+            at[missing] = [self.place[flat[i]] for i in missing]
         return at, np.concatenate([[0], np.cumsum([len(w) for w in cut], dtype=np.int64)]).astype(np.int64)
 
-    def hashes_at(self, at: np.ndarray) -> np.ndarray:
-        """64-bit hashes of words by their places, as signed numbers."""
-        return np.array(self.hashes, np.uint64)[at].view(np.int64) if len(at) else np.zeros(0, np.int64)
+    def sizes_at(self, at: np.ndarray) -> np.ndarray:
+        """Numbers of ids of words by their places."""
+        return np.diff(np.array(self.begins, np.int64))[at]
 
     def ids_at(self, at: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words one after the other, and where each text begins (one more at the end)."""
@@ -84,13 +88,20 @@ class Subwords(WordCache):
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
 
-    def _encode_new(self, words: list[bytes]) -> Iterator[list[int]]:
+    def _encode_new(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         tokenize = self.tokenizer.model.tokenize
-        other = [w for w in words if not _plain(w)]
-        encoded = iter(self.tokenizer.encode_batch([w.decode() for w in other], add_special_tokens=False))
+        other = [w.decode() for w in words if not _plain(w)]
+        encoded = iter(self.tokenizer.encode_batch_fast(other, add_special_tokens=False))
+        found, sizes = [], []
         for word in words:
-            parts = _plain(word)
-            yield [t.id for part in parts for t in tokenize(part.decode())] if parts else next(encoded).ids
+            before = len(found)
+            if parts := _plain(word):
+                for part in parts:
+                    found.extend([t.id for t in tokenize(part.decode())])
+            else:
+                found.extend(next(encoded).ids)
+            sizes.append(len(found) - before)
+        return np.array(found, np.uint32), np.array(sizes, np.int64)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         whole = [i for i, t in enumerate(texts) if b"<|" in t]
@@ -112,12 +123,16 @@ def _plain(word: bytes) -> tuple[bytes, ...]:
 
 WORD_END = "\0"
 _RUNS = re.compile(r"[^\W\d_]+|\d|(?:[^\w\s]|_)+|\s+")
+#: What a text may not hold beside word ends, and how it is written instead, so that different words differ.
+_ESCAPED = {0: "\1\3", 1: "\1\2"} | {0xDC00 + b: "\1" + chr(0x100 + b) for b in range(128, 256)}
+_ODD = re.compile("[\0\1\udc80-\udcff]")
 
 
 class LetterRuns(WordCache):
     """Pieces of runs of letters, digits and marks over the vocabulary of a file with word ends, merged by tiktoken.
 
     They need not be those of the file's own library, which normalises characters and merges by its own list.
+    Different words have different ids, also where bytes are no UTF-8.
     """
 
     def __init__(self, path: str):
@@ -136,13 +151,19 @@ class LetterRuns(WordCache):
         alone = max(*vocabulary.values(), *added.values()) + 1
         ranks.setdefault(WORD_END.encode(), alone)
         self.size, self.end_id = alone + 1, added["<|endoftext|>"]
+        self.closes = np.zeros(self.size, bool)
+        self.closes[[number for piece, number in ranks.items() if piece.endswith(WORD_END.encode())]] = True
         self.encoding = tiktoken.Encoding("words", pat_str=r"[^\x00]*\x00", mergeable_ranks=ranks, special_tokens={})
 
-    def _encode_new(self, words: list[bytes]) -> Iterator[list[int]]:
-        encode = self.encoding.encode_ordinary
-        for word in words:
-            text = word.decode("utf-8", "replace").replace(WORD_END, "\1")
-            yield encode((text if text.isalpha() else WORD_END.join(_RUNS.findall(text))) + WORD_END)
+    def _encode_new(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        text = b"\n".join(words).decode("utf-8", "surrogateescape")
+        if _ODD.search(text):
+            text = text.translate(_ESCAPED)
+        runs = [w if w.isalpha() else WORD_END.join(_RUNS.findall(w)) for w in text.split("\n")]
+        ids = self.encoding.encode_to_numpy(WORD_END.join(runs) + WORD_END)
+        run_ends = np.flatnonzero(self.closes[ids]) + 1
+        word_ends = run_ends[np.cumsum([r.count(WORD_END) + 1 for r in runs]) - 1]
+        return ids, np.diff(word_ends, prepend=0)
 
 
 def _byte_letters() -> dict[int, str]:

@@ -74,7 +74,7 @@ def test_warc_records_link_and_digest(spark):
 
 def test_lm_counts_and_chances(spark):
     table = docs(spark, *ODD)
-    got = {r["doc_id"]: r for r in attention_lm.score_texts(table, table.filter("doc_id < 6"), WORD_PIECES).collect()}
+    got = {r["doc_id"]: r for r in attention_lm.score_texts(table, F.col("doc_id") < 6, WORD_PIECES).collect()}
     words = {i: (t or "").encode().lower().split() for i, t in enumerate(ODD)}
     learnt = [w for i in range(6) for w in words[i]]
     total, distinct = len(learnt) + 6, len(set(learnt)) + 1
@@ -87,6 +87,29 @@ def test_lm_counts_and_chances(spark):
         assert np.isfinite(got[i]["score"]) and got[i]["score"] < 0
 
 
+def test_lm_empty_table_and_nothing_to_learn(spark):
+    assert attention_lm.score_texts(docs(spark).limit(0), F.lit(True), WORD_PIECES).count() == 0
+    got = attention_lm.score_texts(docs(spark, "a b", None), F.lit(None).cast("boolean"), WORD_PIECES).collect()
+    assert len(got) == 2 and all(r["n_known"] == 0 and np.isfinite(r["score"]) for r in got)
+
+
+def test_word_ids_tell_words_apart():
+    from homespan.llm.subwords import LetterRuns
+
+    coder = LetterRuns(WORD_PIECES)
+    words = [b"ab", b"a\0b", b"a\1b", b"a\1\2b", b"a\xffb", b"a\xfeb", "a\u01ffb".encode(), "a\ufffdb".encode(), b"a_b", b"x" * 999]
+    at, first = coder.words([b" ".join(words), b"", b"ab \xff"])
+    ids, bounds = coder.ids_at(at, first)
+    raw, opens = attention_lm.sizes_to_bytes(coder.sizes_at(at), first)
+    parts = lambda x, b: [x[i:j].tobytes() for i, j in zip(b[:-1], b[1:], strict=True)]
+    back = attention_lm.id_arrays(parts(ids.astype("<u2"), bounds), parts(raw, opens), "<u2")
+    assert np.array_equal(back[0], ids) and np.array_equal(back[1], bounds) and np.array_equal(back[3], first)
+    assert len(set(back[2][: len(words)].tolist())) == len(words) and back[2][len(words)] == back[2][0]
+    sizes = np.array([1, 254, 255, 256, 510, 3])
+    raw, opens = attention_lm.sizes_to_bytes(sizes, np.array([0, 3, 3, 6]))
+    assert np.array_equal(attention_lm.bytes_to_sizes(raw), sizes) and opens[-1] == len(raw)
+
+
 def test_lm_chances_add_up_to_one():
     draw = np.random.default_rng(1)
     ids = draw.integers(0, 50, 4000)
