@@ -78,7 +78,13 @@ class WordCache:
 
 
 class Subwords(WordCache):
-    """Ids of a file of the library tokenizers; texts that hold the opening of a special token are encoded whole."""
+    """Ids of a file of the library tokenizers; texts that hold the opening of a special token are encoded whole.
+
+    Words of simple letters, digits and marks are cut by a pattern and merged by tiktoken, many at a time, if
+    the file's pieces are numbered in the order of their merges and each piece, encoded alone, is itself. Then both
+    libraries merge alike: within the span of a piece the same merges come first, so two neighbours that make up a
+    piece are the two that its own merge names. All other words, and other files, go to the file's own library.
+    """
 
     def __init__(self, path: str):
         super().__init__()
@@ -87,21 +93,25 @@ class Subwords(WordCache):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
+        self.runs = Runs(path) if _merges_in_order(path, self.tokenizer) else None
 
     def _encode_new(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        tokenize = self.tokenizer.model.tokenize
-        other = [w.decode() for w in words if not _plain(w)]
-        encoded = iter(self.tokenizer.encode_batch_fast(other, add_special_tokens=False))
-        found, sizes = [], []
-        for word in words:
-            before = len(found)
-            if parts := _plain(word):
-                for part in parts:
-                    found.extend([t.id for t in tokenize(part.decode())])
-            else:
-                found.extend(next(encoded).ids)
-            sizes.append(len(found) - before)
-        return np.array(found, np.uint32), np.array(sizes, np.int64)
+        texts = b"\n".join(words).decode().split("\n")
+        cut = [_SIMPLE.findall(t) if self.runs and _ALL_SIMPLE.fullmatch(t) else None for t in texts]
+        other = self.tokenizer.encode_batch_fast(
+            [t for t, c in zip(texts, cut, strict=True) if c is None], add_special_tokens=False
+        )
+        simple = np.array([c is not None for c in cut])
+        sizes = np.zeros(len(words), np.int64)
+        sizes[~simple] = [len(e.ids) for e in other]
+        told = np.zeros(0, np.uint32)
+        if simple.any():
+            told, sizes[simple] = self.runs.encode([WORD_END.join(c) for c in cut if c is not None])
+        ids = np.zeros(int(sizes.sum()), np.uint32)
+        whose = np.repeat(simple, sizes)
+        ids[whose] = told
+        ids[~whose] = np.fromiter(chain.from_iterable(e.ids for e in other), np.uint32)
+        return ids, sizes
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         whole = [i for i, t in enumerate(texts) if b"<|" in t]
@@ -114,29 +124,42 @@ class Subwords(WordCache):
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
 
-def _plain(word: bytes) -> tuple[bytes, ...]:
-    """The pieces of a word that need no rules: ASCII letters, or those and one mark; else nothing."""
-    if word.isalpha():
-        return (word,)
-    return (word[:-1], word[-1:]) if word[-1:] in (b".", b",") and word[:-1].isalpha() else ()
-
-
 WORD_END = "\0"
+#: Lower-case letters that no normalisation changes, single digits, and runs of marks: what the file's own pattern cuts alike.
+_SIMPLE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[.,;:!?()]+")
+_ALL_SIMPLE = re.compile(r"[a-zß-öø-ÿ0-9.,;:!?()]+")
 _RUNS = re.compile(r"[^\W\d_]+|\d|(?:[^\w\s]|_)+|\s+")
 #: What a text may not hold beside word ends, and how it is written instead, so that different words differ.
 _ESCAPED = {0: "\1\3", 1: "\1\2"} | {0xDC00 + b: "\1" + chr(0x100 + b) for b in range(128, 256)}
 _ODD = re.compile("[\0\1\udc80-\udcff]")
 
 
-class LetterRuns(WordCache):
-    """Pieces of runs of letters, digits and marks over the vocabulary of a file with word ends, merged by tiktoken.
-
-    They need not be those of the file's own library, which normalises characters and merges by its own list.
-    Different words have different ids, also where bytes are no UTF-8.
-    """
+def _merges_in_order(path: str, tokenizer: object) -> bool:
+    """Whether the file cuts text as ``_SIMPLE`` does, numbers pieces by their merges, and gives each piece for itself."""
+    with open(path, encoding="utf-8") as file:
+        stored = json.load(file)
+    vocabulary, model = stored["model"]["vocab"], tokenizer.model
+    merges = stored["model"].get("merges", [])
+    numbers = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
+    if stored["model"].get("end_of_word_suffix") != "</w>" or numbers != sorted(numbers) or not numbers:
+        return False
+    singles = {p.removesuffix("</w>") for p, n in vocabulary.items() if n < numbers[0]}
+    if any(len(p) != 1 for p in singles) or not set(_byte_letters().values()) <= singles:
+        return False
+    probe = "ab,.cé 1 2;:x!?y()z ÿß"
+    pieces = ["".join(w.split(" ")) for w in _SIMPLE.findall(probe)]
+    cut = [t for t, _ in tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(probe))]
+    letters = _byte_letters()
+    if cut != ["".join(letters[b] for b in p.encode()) for p in pieces]:
+        return False
+    whole = (p.removesuffix("</w>") for p in vocabulary if p.endswith("</w>"))
+    return all([t.id for t in model.tokenize(p)] == [vocabulary[p + "</w>"]] for p in whole)
+
+
+class Runs:
+    """Ids of runs of characters over the vocabulary of a file with word ends, merged by tiktoken."""
 
     def __init__(self, path: str):
-        super().__init__()
         import tiktoken
 
         with open(path, encoding="utf-8") as file:
@@ -155,15 +178,31 @@ class LetterRuns(WordCache):
         self.closes[[number for piece, number in ranks.items() if piece.endswith(WORD_END.encode())]] = True
         self.encoding = tiktoken.Encoding("words", pat_str=r"[^\x00]*\x00", mergeable_ranks=ranks, special_tokens={})
 
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words whose runs are parted by word ends, and how many each word has."""
+        ids = self.encoding.encode_to_numpy(WORD_END.join(words) + WORD_END)
+        run_ends = np.flatnonzero(self.closes[ids]) + 1
+        word_ends = run_ends[np.cumsum([w.count(WORD_END) + 1 for w in words]) - 1]
+        return ids, np.diff(word_ends, prepend=0)
+
+
+class LetterRuns(WordCache):
+    """Pieces of runs of letters, digits and marks.
+
+    They need not be those of the file's own library, which normalises characters. Different words have different
+    ids, also where bytes are no UTF-8.
+    """
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.runs = Runs(path)
+        self.size, self.end_id = self.runs.size, self.runs.end_id
+
     def _encode_new(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         text = b"\n".join(words).decode("utf-8", "surrogateescape")
         if _ODD.search(text):
             text = text.translate(_ESCAPED)
-        runs = [w if w.isalpha() else WORD_END.join(_RUNS.findall(w)) for w in text.split("\n")]
-        ids = self.encoding.encode_to_numpy(WORD_END.join(runs) + WORD_END)
-        run_ends = np.flatnonzero(self.closes[ids]) + 1
-        word_ends = run_ends[np.cumsum([r.count(WORD_END) + 1 for r in runs]) - 1]
-        return ids, np.diff(word_ends, prepend=0)
+        return self.runs.encode([w if w.isalpha() else WORD_END.join(_RUNS.findall(w)) for w in text.split("\n")])
 
 
 def _byte_letters() -> dict[int, str]:

@@ -233,3 +233,19 @@ def test_passages_in_blocks_and_short_items(spark, monkeypatch):
     clean = decontamination.remove_passages(table, bench, coverage=0.9).orderBy("doc_id").collect()
     assert [r["text"] for r in clean[:3]] == ["x y", "short", None] and clean[0]["n_chars"] == 3
     assert len(clean) == 6 and len(decontamination.remove_passages(table, bench).collect()) == 4
+
+
+def test_simple_words_have_the_ids_of_the_library():
+    from homespan.llm.subwords import Subwords
+
+    coder = Subwords(WORD_PIECES)
+    assert coder.runs is not None
+    draw = np.random.default_rng(8)
+    pieces = sorted({p.removesuffix("</w>") for p in coder.tokenizer.get_vocab() if p.removesuffix("</w>").isalpha() and p.isascii()})
+    words = ["".join(draw.choice(pieces, draw.integers(1, 5))).lower() for _ in range(20_000)]
+    words += ["".join(draw.choice(list("abéüßnste019.,;:!?()'_-ſ"), draw.integers(1, 12))) for _ in range(20_000)]
+    words = list(dict.fromkeys(words))
+    ids, sizes = coder._encode_new([w.encode() for w in words])
+    ends = np.cumsum(sizes)
+    want = coder.tokenizer.encode_batch(words, add_special_tokens=False)
+    assert all(e.ids == ids[b - n : b].tolist() for e, n, b in zip(want, sizes, ends, strict=True))
