@@ -17,7 +17,7 @@ import numpy as np
 
 from homespan.llm.common import worker_cache
 
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 
 
 class WordCache:
@@ -97,16 +97,16 @@ class Subwords(WordCache):
 
     def _encode_new(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         texts = b"\n".join(words).decode().split("\n")
-        cut = [_SIMPLE.findall(t) if self.runs and _ALL_SIMPLE.fullmatch(t) else None for t in texts]
+        runs = [_simple_runs(t) for t in texts] if self.runs else [None] * len(texts)
         other = self.tokenizer.encode_batch_fast(
-            [t for t, c in zip(texts, cut, strict=True) if c is None], add_special_tokens=False
+            [t for t, r in zip(texts, runs, strict=True) if r is None], add_special_tokens=False
         )
-        simple = np.array([c is not None for c in cut])
+        simple = np.array([r is not None for r in runs])
         sizes = np.zeros(len(words), np.int64)
         sizes[~simple] = [len(e.ids) for e in other]
         told = np.zeros(0, np.uint32)
         if simple.any():
-            told, sizes[simple] = self.runs.encode([WORD_END.join(c) for c in cut if c is not None])
+            told, sizes[simple] = self.runs.encode([r for r in runs if r is not None])
         ids = np.zeros(int(sizes.sum()), np.uint32)
         whose = np.repeat(simple, sizes)
         ids[whose] = told
@@ -126,8 +126,17 @@ class Subwords(WordCache):
 
 WORD_END = "\0"
 #: Lower-case letters that no normalisation changes, single digits, and runs of marks: what the file's own pattern cuts alike.
-_SIMPLE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[.,;:!?()]+")
-_ALL_SIMPLE = re.compile(r"[a-zß-öø-ÿ0-9.,;:!?()]+")
+_MARKS = r"""!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"""
+_SIMPLE = re.compile(rf"[a-zß-öø-ÿ]+|[0-9]|[{_MARKS}]+")
+_ALL_SIMPLE = re.compile(rf"[a-zß-öø-ÿ0-9{_MARKS}]+")
+
+
+def _simple_runs(word: str) -> str | None:
+    """Runs of a simple word parted by word ends; none of other words."""
+    if word.isascii() and word.isalpha():
+        return word
+    return WORD_END.join(_SIMPLE.findall(word)) if _ALL_SIMPLE.fullmatch(word) else None
+
 _RUNS = re.compile(r"[^\W\d_]+|\d|(?:[^\w\s]|_)+|\s+")
 #: What a text may not hold beside word ends, and how it is written instead, so that different words differ.
 _ESCAPED = {0: "\1\3", 1: "\1\2"} | {0xDC00 + b: "\1" + chr(0x100 + b) for b in range(128, 256)}
@@ -146,8 +155,8 @@ def _merges_in_order(path: str, tokenizer: object) -> bool:
     singles = {p.removesuffix("</w>") for p, n in vocabulary.items() if n < numbers[0]}
     if any(len(p) != 1 for p in singles) or not set(_byte_letters().values()) <= singles:
         return False
-    probe = "ab,.cé 1 2;:x!?y()z ÿß"
-    pieces = ["".join(w.split(" ")) for w in _SIMPLE.findall(probe)]
+    probe = "ab,.cé 12;:x!?y()z ÿß #$%&*+-/<=>@[ ]^_`{|}~ \"a\\"
+    pieces = _SIMPLE.findall(probe)
     cut = [t for t, _ in tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(probe))]
     letters = _byte_letters()
     if cut != ["".join(letters[b] for b in p.encode()) for p in pieces]:
