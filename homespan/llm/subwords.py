@@ -2,7 +2,7 @@
 
 The tokenizers cut at white space before anything else, so the ids of a text are those of its words between
 ASCII white space, one after the other; each distinct word is encoded once while it stays in the cache.
-The cache is emptied when it exceeds ``CACHE_WORDS`` words, which changes no result.
+The cache is emptied when it exceeds ``most_words`` words, which changes no result.
 """
 
 from __future__ import annotations
@@ -11,19 +11,26 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Iterable
 from itertools import chain, repeat
 
 import numpy as np
 
 from homespan.llm.common import worker_cache
 
-CACHE_WORDS = 300_000
+
+
+def _numbered(words: Iterable[bytes]) -> tuple[dict[bytes, int], list[int]]:
+    """Distinct words by first place, and the number of each word."""
+    numbers: dict[bytes, int] = {}
+    return numbers, [numbers.setdefault(w, len(numbers)) for w in words]
 
 
 class WordCache:
     """Ids of words; subclasses encode words that are new."""
 
     size: int
+    most_words = 200_000
 
     def __init__(self) -> None:
         self._empty()
@@ -51,13 +58,14 @@ class WordCache:
         flat = list(chain.from_iterable(cut))
         at = np.fromiter(map(self.place.get, flat, repeat(-1)), np.int64, len(flat))
         missing = np.flatnonzero(at < 0)
-        new = dict.fromkeys(map(flat.__getitem__, missing))
-        if new and len(self.place) + len(new) > CACHE_WORDS:
+        numbers, told = _numbered(map(flat.__getitem__, missing.tolist()))
+        if numbers and len(self.place) + len(numbers) > self.most_words:
             self._empty()
-            missing, new = np.arange(len(flat)), dict.fromkeys(flat)
-        if new:
-            self._learn(list(new))
-            at[missing] = [self.place[flat[i]] for i in missing]
+            missing = np.arange(len(flat))
+            numbers, told = _numbered(flat)
+        if numbers:
+            at[missing] = np.array(told, np.int64) + len(self.place)
+            self._learn(list(numbers))
         return at, np.concatenate([[0], np.cumsum([len(w) for w in cut], dtype=np.int64)]).astype(np.int64)
 
     def sizes_at(self, at: np.ndarray) -> np.ndarray:
@@ -86,6 +94,8 @@ class Subwords(WordCache):
     piece are the two that its own merge names. All other words, and other files, go to the file's own library.
     """
 
+    most_words = 300_000
+
     def __init__(self, path: str):
         super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
