@@ -32,7 +32,7 @@ class Parsed:
 
     def require_rows(self) -> DataFrame:
         if self.rows.isEmpty():
-            reasons = [r["REASON"] for r in self.rejected.select("REASON").distinct().limit(5).collect()]
+            reasons = [r["REASON"] for r in self.rejected.select("REASON").distinct().collect()]
             raise PayloadError("no usable payload: " + (", ".join(sorted(reasons)) or "no files"))
         return self.rows
 
