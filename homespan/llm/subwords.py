@@ -19,7 +19,6 @@ import numpy as np
 from homespan.llm.common import worker_cache
 
 
-
 def _numbered(words: Iterable[bytes]) -> tuple[dict[bytes, int], list[int]]:
     """Distinct words by first place, and the number of each word."""
     numbers: dict[bytes, int] = {}
