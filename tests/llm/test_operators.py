@@ -130,6 +130,15 @@ def test_lm_chances_add_up_to_one():
     assert np.allclose(total, 1, atol=1e-3)
 
 
+def test_lm_pairs_with_other_ids_count_for_their_slot(spark, monkeypatch):
+    monkeypatch.setattr(attention_lm, "ACTIVE", 3)
+    pairs = {(1, 2): 50, (2, 1): 40, (1, 7): 5, (1, 8): 6, (7, 8): 2, (8, 3): 30, (3, 1): 20, (7, 9): 1}
+    rows = [(attention_lm.PAIR, a << 20 | b, n) for (a, b), n in pairs.items()]
+    ids, active, table = attention_lm._pair_totals(spark.createDataFrame(rows, "kind int, key long, n long"), 10)
+    assert active.tolist() == [1, 2, 3] and ids[8] == 8
+    assert table.tolist() == [[0, 50, 0, 11], [40, 0, 0, 0], [20, 0, 0, 0], [0, 0, 30, 3]]
+
+
 def test_language_of_odd_texts(spark):
     told = docs(spark, *["the cat and the dog " * 9, "other the words and such " * 9] * 6)
     net = language.fit_languages(told.unionByName(docs(spark, *["der hund und die katze " * 9] * 9, lang="de")))
