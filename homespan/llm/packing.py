@@ -1,15 +1,22 @@
 """Training sequences packed by lexical retrieval.
 
-Method. Documents are dealt by a hash into shards of about ``SHARD_BYTES`` of text. Each shard has a BM25
+Method. Documents are dealt by their strongest terms into shards of about ``SHARD_BYTES`` of text. Each shard has a BM25
 inverted index over subword ids. A window of ``length`` ids starts with a seed document (or the rest of the
 document that ran over the last window); its strongest terms retrieve unused neighbours, which fill the
 window greedily in order of score; when none is left, the next unused document does. A document that runs
 over the end is cut, and its rest opens the next window. So every sequence is full but for the end of a
 shard, which is cut into sequences of powers of two, which need no padding.
 
-Scale. One shuffle of the texts by shard; a shard is read, indexed and packed in one task and then dropped,
-so memory follows the shard (or one longer document). Shards depend on the content alone, so a task
-that is run again gives the same rows.
+Dealing. A document's strongest terms are those with the largest BM25 weight by counts over the whole table, of terms that
+another document has too. Documents with the same strongest term make a bucket; a bucket larger than a shard is split
+by the second term, then by the third, and what is still too large by a hash. Buckets in order of their terms fill the
+shards. Related documents that agree in no strongest term may still lie in different shards: a seed's neighbours are
+those of its shard.
+
+Scale. Texts are cut into ids once, which are kept in the checkpoint folder. Counts of terms are no more than the vocabulary,
+buckets no more than the vocabulary and ``BINS`` for each shard and level. One shuffle of the ids by shard; a shard is
+indexed and packed in one task and then dropped, so memory follows the shard (or one longer document). Shards depend on
+the content alone, so a task that is run again gives the same rows.
 
 Cases. Null text is empty: its document is the end id alone. Repeated rows are packed as often as they
 came in. Null ids are kept. An empty table gives no rows. Columns other than id and text are ignored.
@@ -24,12 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from homespan.llm.common import emit, sorted_groups, text_bytes
+from homespan.llm.common import emit, in_chunks, sorted_groups, stored, text_bytes
 from homespan.llm.subwords import subwords
 
 LENGTH = 2048
 SHARD_BYTES = 2_000_000
 QUERY_TERMS = 24
+BINS = 16
+CHUNK_BYTES = 1_000_000
 K1, B = 1.2, 0.75
 
 PIECES_SQL = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -131,11 +140,117 @@ def pack_shard(doc_ids: list, documents: list[np.ndarray], shard: int, length: i
     return out
 
 
-def _packed(batches: Iterable[pa.RecordBatch], path: str, length: int, end_id: int) -> Iterator[pa.RecordBatch]:
+CODED = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("size", pa.int64()), ("ids", pa.binary())])
+CODED_SQL = "doc_id long, mark long, size long, ids binary"
+TERMS = pa.schema([("term", pa.int32()), ("n", pa.int64())])
+DOCUMENTS, IDS = -1, -2
+FIRST = ("first", "second", "third")
+PATH = ("by_first", "by_second", "by_third", "by_mark")
+
+
+def _coded(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Ids of each text, and the bytes it counts for."""
     coder = subwords(path)
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        for part in in_chunks(map(len, texts), CHUNK_BYTES):
+            told = texts[part]
+            ids, bounds = coder.encode(told)
+            ids = ids.astype(id_type(coder.size))
+            rows = batch.slice(part.start, len(told))
+            columns = {
+                "doc_id": rows.column("doc_id"), "mark": rows.column("mark"), "size": [len(t) + 1 for t in told],
+                "ids": [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)],
+            }
+            yield emit(columns, CODED)
+
+
+def id_type(size: int) -> str:
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
+def _terms_held(batches: Iterable[pa.RecordBatch], kind: str, size: int) -> Iterator[pa.RecordBatch]:
+    """In how many documents each term is, and the numbers of documents and ids."""
+    held, documents, ids = np.zeros(size, np.int64), 0, 0
+    for batch in batches:
+        for raw in batch.column("ids").to_pylist():
+            text = np.frombuffer(raw, kind)
+            held[np.unique(text)] += 1
+            documents, ids = documents + 1, ids + len(text)
+    terms = np.flatnonzero(held)
+    columns = {"term": np.append(terms, [DOCUMENTS, IDS]), "n": np.append(held[terms], [documents, ids])}
+    yield emit(columns, TERMS)
+
+
+def term_rarity(coded: DataFrame, kind: str, size: int) -> tuple[np.ndarray, float]:
+    """Rarity of every term over all documents, zero for those in one document alone, and the mean number of ids."""
+    counts = coded.select("ids").mapInArrow(lambda b: _terms_held(b, kind, size), "term int, n long")
+    n = dict(tuple(r) for r in counts.groupBy("term").agg(F.sum("n")).collect())
+    documents, ids = n.pop(DOCUMENTS, 0), n.pop(IDS, 0)
+    rarity = np.zeros(size)
+    terms, held = np.fromiter(n.keys(), np.int64), np.fromiter(n.values(), float)
+    rarity[terms] = np.where(held > 1, np.log1p((documents - held + 0.5) / (held + 0.5)), 0)
+    return rarity, max(1.0, ids / max(1, documents))
+
+
+def strongest_terms(text: np.ndarray, rarity: np.ndarray, mean: float) -> list[int]:
+    """The terms with the largest BM25 weights, filled up with -1."""
+    terms, times = np.unique(text, return_counts=True)
+    weights = rarity[terms] * times / (times + K1 * (1 - B + B * len(text) / mean))
+    if len(terms) > len(FIRST):
+        least = np.partition(weights, -len(FIRST))[-len(FIRST)]
+        terms, weights = terms[weights >= least], weights[weights >= least]
+    order = np.lexsort((terms, -weights))[: len(FIRST)]
+    found = terms[order][weights[order] > 0].tolist()
+    return found + [-1] * (len(FIRST) - len(found))
+
+
+def with_strongest_terms(coded: DataFrame, kind: str, rarity: np.ndarray, mean: float) -> DataFrame:
+    schema = pa.schema([*CODED, *((n, pa.int32()) for n in FIRST)])
+
+    def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [strongest_terms(np.frombuffer(raw, kind), rarity, mean) for raw in batch.column("ids").to_pylist()]
+            keys = np.array(found, np.int32).reshape(-1, len(FIRST))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(k) for k in keys.T)], schema=schema)
+
+    return coded.mapInArrow(keyed, f"{CODED_SQL}, {', '.join(f'{n} int' for n in FIRST)}")
+
+
+def _split(rows: DataFrame, level: int, large: DataFrame) -> DataFrame:
+    """Split the buckets in ``large`` by the term (or mark) of the level."""
+    source = (*FIRST, "mark")[level]
+    bins = F.pmod(F.xxhash64(source), F.col("bins")).cast("int")
+    joined = rows.join(F.broadcast(large), list(PATH), "left")
+    return joined.withColumn(PATH[level], F.coalesce(bins, F.col(PATH[level]))).drop("bins")
+
+
+def deal(keyed: DataFrame) -> DataFrame:
+    """Add ``shard`` to rows with their strongest terms, mark and size."""
+    spark = keyed.sparkSession
+    bucketed = lambda rows: rows.withColumns({PATH[0]: F.col(FIRST[0]), **{p: F.lit(-1) for p in PATH[1:]}})
+    keys, rows = bucketed(stored(keyed.drop("ids", "doc_id"))), bucketed(keyed)
+    for level in range(1, len(PATH)):
+        sizes = keys.groupBy(*PATH).agg(F.sum("size").alias("size")).filter(F.col("size") > SHARD_BYTES)
+        bins = F.ceil(F.col("size") / SHARD_BYTES).cast("long") * BINS
+        large = sizes.select(*PATH, bins.alias("bins")).collect()
+        if not large:
+            break
+        listed = spark.createDataFrame(large, f"{', '.join(f'{p} int' for p in PATH)}, bins long")
+        keys, rows = _split(keys, level, listed), _split(rows, level, listed)
+    shards, shard, filled = [], 0, 0
+    for *path, size in sorted(tuple(r) for r in keys.groupBy(*PATH).agg(F.sum("size")).collect()):
+        if filled and filled + size > SHARD_BYTES:
+            shard, filled = shard + 1, 0
+        filled += size
+        shards.append((*path, shard))
+    listed = spark.createDataFrame(shards, f"{', '.join(f'{p} int' for p in PATH)}, shard long")
+    return rows.join(F.broadcast(listed), list(PATH))
+
+
+def _packed(batches: Iterable[pa.RecordBatch], kind: str, length: int, end_id: int) -> Iterator[pa.RecordBatch]:
     for (shard,), rows in sorted_groups(batches, 1):
-        ids, bounds = coder.encode([r[1] for r in rows])
-        documents = [np.append(ids[a:b], np.uint32(end_id)) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        documents = [np.append(np.frombuffer(r[1], kind).astype(np.uint32), np.uint32(end_id)) for r in rows]
         yield emit(pack_shard([r[0] for r in rows], documents, shard, length), PIECES)
 
 
@@ -145,12 +260,15 @@ def pack(documents: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int
     Per piece: the document, where the piece begins in its ids and how long it is, the document's ids in
     all (its end id included), the sequence, the place in it, and the ids as little-endian 32-bit numbers.
     """
-    rows = documents.select(F.col("doc_id").cast("long"), text_bytes().alias("text"))
-    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    shards = max(1, -(-int(total) // SHARD_BYTES))
-    dealt = rows.withColumn("mark", F.xxhash64("doc_id", "text")).withColumn("shard", F.pmod("mark", F.lit(shards)))
-    placed = dealt.repartition("shard").sortWithinPartitions("shard", "doc_id", "mark").select("shard", "doc_id", "text")
-    return placed.mapInArrow(lambda b: _packed(b, tokenizer, length, end_id), PIECES_SQL)
+    size = subwords(tokenizer).size
+    kind = id_type(size)
+    rows = documents.select(
+        F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text").alias("mark"), text_bytes().alias("text")
+    )
+    coded = stored(rows.mapInArrow(lambda b: _coded(b, tokenizer), CODED_SQL))
+    dealt = deal(with_strongest_terms(coded, kind, *term_rarity(coded, kind, size)))
+    placed = dealt.repartition("shard").sortWithinPartitions("shard", "doc_id", "mark").select("shard", "doc_id", "ids")
+    return placed.mapInArrow(lambda b: _packed(b, kind, length, end_id), PIECES_SQL)
 
 
 def piece_columns(pieces: DataFrame) -> DataFrame:

@@ -53,6 +53,21 @@ def test_neighbours_share_words():
     assert packing.packing_order(texts, 64)[:2] == [0, 2]
 
 
+def test_related_documents_meet_in_a_shard(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_BYTES", 4_000)
+    draw = np.random.default_rng(2)
+    topics = "river music engine garden doctor castle summer market".split()
+    texts = [" ".join([t, *draw.choice(["the", "of", "and", "to"], 60)] * 2) for t in topics for _ in range(8)]
+    texts += ["planet " * 3 + " ".join(draw.choice(["the", "of", "and", "to"], 60)) for _ in range(80)]
+    rows = packing.pack(docs(spark, *texts, *ODD), WORD_PIECES).select("doc_id", "length", (F.col("sequence_id") / (1 << 32)).cast("long")).collect()
+    shard = {r[0]: r[2] for r in rows}
+    assert len(shard) == len(texts) + len(ODD) and len(set(shard.values())) > 8
+    together = [shard[i] == shard[8 * t + j] for t in range(8) for i in range(8 * t, 8 * t + 8) for j in range(8)]
+    assert np.mean(together) == 1
+    held = np.bincount([shard[i] for i in range(len(texts))], [len(t) for t in texts])
+    assert held.max() <= 4_000 and sum(h > 0 for h in held) > 8
+
+
 def test_warc_records_link_and_digest(spark):
     html = "<html lang=en><head><title>A &amp; B</title></head><body><p>x<br>y</p><!-- n --><a href='/z'>z</a></body></html>"
     rows = [(1, "http://e/", html), (2, None, None), (1, "http://e/", html)]
