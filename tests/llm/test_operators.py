@@ -233,6 +233,15 @@ def test_licenses_by_alignment(spark):
     assert [y for _, y in pairs] == [0, 1, 2] and pairs == sorted(pairs)
 
 
+def test_common_licenses_are_known():
+    known = licenses.Templates(licenses.TEMPLATES)
+    names = ["BSD-2-Clause-text", "BSD-3-Clause-text", "ISC-text", "MIT-text", "GPL-2.0-text", "GPL-3.0-text", "MPL-2.0-text", "LGPL-2.1-text"]
+    names += ["GPL-3.0-notice", "AGPL-3.0-notice", "MPL-2.0-notice", "Unlicense-text", "CC-BY-SA-4.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC0-1.0-text"]
+    for name in names:
+        text = f"some words before {licenses.TEMPLATES[name]} and some after"
+        assert [p[0] for p in known.passages(text.encode())] == [name]
+
+
 def test_toxicity_chain(spark):
     fine, bad = "all is well in this town ", "you moron go away "
     table = docs(spark, *[fine * 3, fine + bad] * 30, None, "", bad)
