@@ -117,3 +117,52 @@ digests AS (
 SELECT conv_id, n_turns, turns_sha256, length(learnt) AS loss_chars, sha256(learnt) AS loss_sha256, formatted_chars
 FROM digests JOIN sizes USING (conv_id)
 """
+
+ORACLE_SQL["op11_fill_in_middle"] = r"""
+WITH told AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h,
+        regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units
+    FROM documents),
+drawn AS (
+    SELECT *, len(units) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+        ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+    FROM told),
+cut AS (
+    SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 100
+             THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+    FROM drawn),
+pieces AS (
+    SELECT *, coalesce(array_to_string(units[1:low], ''), '') AS prefix,
+        coalesce(array_to_string(units[low + 1:high], ''), '') AS middle,
+        coalesce(array_to_string(units[high + 1:], ''), '') AS suffix
+    FROM cut)
+SELECT doc_id, n::BIGINT AS n, form,
+    CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+    sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+    sha256(text) AS restored_sha256
+FROM pieces
+"""
+
+ORACLE_SQL["op12_hyperplane_dedup"] = """
+WITH RECURSIVE v AS (
+    SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+fine AS (
+    SELECT * FROM v
+    WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.r AS ar, a.vec_id AS x, b.vec_id AS y
+    FROM fine a JOIN fine b ON a.label = b.label AND a.r <> b.r AND len(a.e) = len(b.e)
+    WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (
+    SELECT vec_id AS x, vec_id AS y FROM v
+    UNION
+    SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+counts AS (SELECT ar, count(*) AS n FROM links GROUP BY ar)
+SELECT v.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v LEFT JOIN counts ON counts.ar = v.r JOIN least ON least.x = v.vec_id
+"""

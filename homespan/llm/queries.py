@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from homespan.llm import attention_lm, chat, decontamination, kdsearch, language, licenses, packing, toxicity, warc
+from homespan.llm import attention_lm, chat, decontamination, kdsearch, language, licenses, middles, packing, toxicity, warc
 from homespan.llm.common import id_remainder, table
+from homespan.llm.hyperplanes import near_vectors
 from homespan.llm.minhash import near_duplicates
+from homespan.llm.whitening import whiten
 
 WORD_PIECES = public_tokenizers.path("word_bpe_49k.json")
 
@@ -86,10 +88,25 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest_columns(decontamination.passages(documents, table(spark, sf_dir, "benchmark")))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middles.digest_columns(middles.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+def op12_hyperplane_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deviations as longs; null where one does not fit."""
+    white = whiten(table(spark, sf_dir, "embeddings"), most=16)
+    return white.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_packing, op2_warc_derivatives, op3_attention_lm, op4_language_id, op5_kd_top_k, op6_minhash_near_dedup,
-        op7_chat_windows, op8_license_scan, op9_toxicity, op10_decontamination,
+        op7_chat_windows, op8_license_scan, op9_toxicity, op10_decontamination, op11_fill_in_middle,
+        op12_hyperplane_dedup, op13_whitening,
     )
 }
