@@ -110,6 +110,8 @@ class MarketSettings:
     place_suffixes: tuple[str, ...] = PLACE_SUFFIXES
     weights: Mapping[str, float] = field(default_factory=lambda: dict(WEIGHTS_B))
     exact_scale: int | None = None
+    allowed_rejects: int | None = None
+    gold_view: str | None = None
 
 
 @dataclass(frozen=True)
@@ -149,3 +151,23 @@ class PipelinePaths:
     @property
     def ranking(self) -> str:
         return f"{self.warehouse}/rankings/best_places"
+
+    @property
+    def census_landing(self) -> str:
+        return f"{self.warehouse}/landing/places"
+
+    @property
+    def labour_landing(self) -> str:
+        return f"{self.warehouse}/landing/unemployment"
+
+    @property
+    def feed_audit(self) -> str:
+        return f"{self.warehouse}/audits/feeds"
+
+    @property
+    def cleaning_audit(self) -> str:
+        return f"{self.warehouse}/audits/cleaning"
+
+    @property
+    def manifest(self) -> str:
+        return f"{self.warehouse}/_run.json"

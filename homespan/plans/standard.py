@@ -10,6 +10,30 @@ from homespan.operators.profile import largest_places
 from homespan.plans import reports
 from homespan.sources.tables import preview
 
+# How the rows of each report are ordered, and of its stored table; a minus is descending. Reports of one row have no order.
+REPORT_ORDERS: dict[str, tuple[str, ...]] = {
+    "gold_preview": ("CITY", "YEAR", "PROPERTY_TYPE"),
+    "price_ranges": ("-HighestAvgPrice", "PROPERTY_TYPE"),
+    "price_extremes": ("-PriceCategory", "PROPERTY_TYPE"),
+    "top_cities_latest_year": ("-AVG_SALE_PRICE", "CITY"),
+    "top_cities_min_volume": ("-AVG_SALE_PRICE", "CITY"),
+    "best_deals": ("DealScore", "CITY"),
+    "investment_score": ("Investment_Score", "CITY"),
+    "ultimate_score": ("Ultimate_Score", "CITY"),
+    "top_cities": ("-AVG_PRICE", "CITY"),
+    "yearly_trend": ("YEAR",),
+    "city_year_panel": ("CITY", "YEAR"),
+    "yearly_change": ("CITY", "YEAR"),
+    "price_trend": ("YEAR", "PROPERTY_TYPE"),
+    "property_types": ("PROPERTY_TYPE",),
+    "city_metrics": ("CITY", "YEAR", "PROPERTY_TYPE"),
+    "largest_places": ("-POPULATION", "CITY"),
+    "ranking_head": ("RANK", "CITY"),
+    "ranking_tail": ("RANK", "CITY"),
+    "benchmark_overlap": ("POSITION",),
+    "benchmark_lookup": ("POSITION",),
+}
+
 
 def market_reports(gold: DataFrame, labour: DataFrame, settings: MarketSettings) -> dict[str, DataFrame]:
     """Reports over gold; nothing runs until one of them is asked for rows."""
