@@ -168,7 +168,7 @@ SELECT CITY, Current_Price, Days_On_Market, Sales_Volume, Base_Price,
              + (SELECT AVG_UNEMPLOYMENT_RATE FROM rate) / 10 * 15, 6) AS Ultimate_Score
 FROM cur LEFT JOIN bas USING (CITY) CROSS JOIN tops
 WHERE Base_Price IS NOT NULL
-ORDER BY Ultimate_Score ASC NULLS FIRST, CITY LIMIT 20"""
+ORDER BY Ultimate_Score ASC NULLS FIRST, CITY LIMIT 3"""
 
 
 def _cleaning_counts() -> str:
@@ -180,7 +180,90 @@ def _cleaning_counts() -> str:
     )
 
 
+DAMAGED = f"""
+{MARKET},
+damaged AS (
+    SELECT * REPLACE (
+        CASE WHEN MEDIAN_DOM % 13 = 5 THEN strftime(PERIOD_END, '%d/%m/%Y') ELSE PERIOD_END::VARCHAR END AS PERIOD_END,
+        CASE WHEN MEDIAN_DOM % 17 = 3 THEN 'many' WHEN MEDIAN_DOM % 17 = 4 THEN HOMES_SOLD || '.5'
+             ELSE HOMES_SOLD::VARCHAR END AS HOMES_SOLD,
+        CASE WHEN MEDIAN_DOM % 19 = 7 THEN 'on request' ELSE coalesce(MEDIAN_SALE_PRICE::VARCHAR, 'NA') END AS MEDIAN_SALE_PRICE,
+        coalesce(MEDIAN_LIST_PRICE::VARCHAR, 'NA') AS MEDIAN_LIST_PRICE, coalesce(MEDIAN_PPSF::VARCHAR, 'NA') AS MEDIAN_PPSF,
+        INVENTORY::VARCHAR AS INVENTORY, MEDIAN_DOM::VARCHAR AS MEDIAN_DOM)
+    FROM market
+)"""
+
+
+def _feed_audit() -> str:
+    grains = ("national", "state", "metro", "county", "city", "zip", "neighborhood")
+    columns = ("MEDIAN_SALE_PRICE", "MEDIAN_LIST_PRICE", "MEDIAN_PPSF", "HOMES_SOLD", "INVENTORY", "MEDIAN_DOM", "PERIOD_END")
+    lines = [
+        f"""SELECT 'city' AS SOURCE, TRUE AS LANDED, '{c}' AS COLUMN_NAME, count(*) AS ROW_COUNT, count({c}) AS PRESENT,
+       count(*) FILTER (WHERE {c} = 'NA') AS MARKED_MISSING,
+       count(*) FILTER (WHERE {c} <> 'NA' AND TRY_CAST({c} AS {'DATE' if c == 'PERIOD_END' else 'DOUBLE'}) IS NULL)
+           AS UNREADABLE FROM damaged"""
+        for c in columns
+    ]
+    lines += [f"SELECT '{g}', FALSE, '{c}', 0, 0, 0, 0" for g in grains if g != "city" for c in columns]
+    return f"WITH {DAMAGED}\n" + "\nUNION ALL\n".join(lines)
+
+
+METRO_GOLD = f"""
+{MARKET},
+gold AS (
+    SELECT CITY, PARENT_METRO_REGION, CAST(year(PERIOD_END) AS INTEGER) AS YEAR, PROPERTY_TYPE,
+           CAST(sum(CAST(MEDIAN_SALE_PRICE AS DECIMAL(18, 2))) AS DOUBLE) / count(MEDIAN_SALE_PRICE) AS AVG_SALE_PRICE,
+           CAST(sum(HOMES_SOLD) AS BIGINT) AS TOTAL_HOMES_SOLD, avg(MEDIAN_DOM) AS AVG_DAYS_ON_MARKET
+    FROM market WHERE MEDIAN_SALE_PRICE IS NOT NULL GROUP BY ALL
+)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "place_landings": """
+SELECT c_name || CASE WHEN c_custkey // 40 % 3 = 0 THEN ' town, Texas' ELSE ' city, Texas' END AS "NAME",
+       c_acctbal::VARCHAR AS B19013_001E, lpad(c_nationkey::VARCHAR, 2, '0') AS state, c_custkey::VARCHAR AS place
+FROM customer""",
+    "payload_rejects": """
+WITH blocks AS (SELECT c_custkey // 40 AS b, count(*) AS n FROM customer GROUP BY 1),
+told AS (
+    SELECT 'usable' AS REASON, n FROM blocks
+    UNION ALL SELECT 'usable', n FROM blocks WHERE b % 3 = 0
+    UNION ALL SELECT 'usable', n FROM blocks WHERE b % 3 = 0
+    UNION ALL SELECT 'unreadable', 0 FROM blocks WHERE b % 7 = 3
+    UNION ALL SELECT 'no rows', 0 FROM blocks WHERE b % 7 = 5
+    UNION ALL SELECT 'header lacks columns', 0 FROM blocks WHERE b % 7 = 6)
+SELECT REASON, count(*) AS PAYLOADS, sum(n)::BIGINT AS ROW_COUNT FROM told GROUP BY REASON""",
+    "labour_landings": """
+SELECT event_type AS "seriesID", strftime(ts, '%Y') AS year, 'E' || event_id AS period, monthname(ts) AS "periodName",
+       CASE WHEN event_id // 50 % 4 = 1 THEN value + 1 ELSE value END AS value
+FROM events""",
+    "feed_audit": _feed_audit(),
+    "bronze_to_gold": f"""
+WITH {DAMAGED},
+silver AS (
+    SELECT CITY, TRY_CAST(PERIOD_END AS DATE) AS PERIOD_END, PROPERTY_TYPE,
+           TRY_CAST(MEDIAN_SALE_PRICE AS DECIMAL(18, 2)) AS price, TRY_CAST(MEDIAN_PPSF AS DECIMAL(18, 2)) AS ppsf,
+           trunc(TRY_CAST(HOMES_SOLD AS DOUBLE)) AS sold, MEDIAN_DOM::INTEGER AS dom, INVENTORY::INTEGER AS stock
+    FROM damaged WHERE STATE_CODE = 'ASIA')
+SELECT CITY, year(PERIOD_END)::INTEGER AS YEAR, PROPERTY_TYPE, sum(price)::DOUBLE / count(price) AS AVG_SALE_PRICE,
+       sum(ppsf)::DOUBLE / count(ppsf) AS AVG_PRICE_PER_SQFT, sum(sold)::BIGINT AS TOTAL_HOMES_SOLD,
+       avg(dom) AS AVG_DAYS_ON_MARKET, avg(stock) AS AVG_INVENTORY
+FROM silver WHERE price IS NOT NULL GROUP BY ALL""",
+    "appreciation_by_metro": f"""
+WITH {METRO_GOLD}
+SELECT c.CITY, c.PARENT_METRO_REGION, c.AVG_SALE_PRICE AS Current_Price, c.AVG_DAYS_ON_MARKET AS Days_On_Market,
+       c.TOTAL_HOMES_SOLD AS Sales_Volume, b.AVG_SALE_PRICE AS Base_Price,
+       round((c.AVG_SALE_PRICE - b.AVG_SALE_PRICE) / b.AVG_SALE_PRICE * 100, 6) AS Appreciation_Pct,
+       round((power(c.AVG_SALE_PRICE / b.AVG_SALE_PRICE, 1.0::DOUBLE / 5) - 1) * 100, 6) AS Annualized_Return_Pct
+FROM gold c JOIN gold b USING (CITY, PARENT_METRO_REGION)
+WHERE c.PROPERTY_TYPE = 'ECONOMY' AND b.PROPERTY_TYPE = 'ECONOMY' AND c.YEAR = 2000 AND b.YEAR = 1995""",
+    "yoy_change_by_metro": f"""
+WITH {METRO_GOLD},
+kept AS (
+    SELECT *, lag(AVG_SALE_PRICE) OVER (PARTITION BY CITY, PARENT_METRO_REGION ORDER BY YEAR) AS before
+    FROM gold WHERE {PANEL} AND YEAR >= 1996)
+SELECT CITY, PARENT_METRO_REGION, YEAR, round(AVG_SALE_PRICE, 0) AS AVG_PRICE,
+       round(AVG_SALE_PRICE - before, 0) AS PRICE_CHANGE, round((AVG_SALE_PRICE - before) / before * 100, 1) AS PCT_CHANGE
+FROM kept""",
     "source_row_audit": "\nUNION ALL\n".join(
         f"SELECT '{t}' AS SOURCE, count(*) AS ROW_COUNT FROM {t}"
         for t in ("region", "nation", "customer", "part", "orders", "lineitem", "events")
@@ -260,7 +343,7 @@ WITH {GOLD} SELECT CITY, YEAR, PROPERTY_TYPE, AVG_SALE_PRICE, AVG_DAYS_ON_MARKET
        AS "DealScore"
 FROM gold WHERE PROPERTY_TYPE = 'ECONOMY' AND YEAR = 2000 AND TOTAL_HOMES_SOLD >= 1400
   AND AVG_DAYS_ON_MARKET IS NOT NULL AND AVG_SALE_PRICE IS NOT NULL
-ORDER BY "DealScore" ASC, CITY LIMIT 20""",
+ORDER BY "DealScore" ASC, CITY LIMIT 3""",
     "appreciation": f"""
 WITH {PAIR} SELECT CITY, Current_Price, Days_On_Market, Sales_Volume, Base_Price,
        {APPRECIATION.format(places=6)} AS Appreciation_Pct, round({ANNUALIZED}, 6) AS Annualized_Return_Pct
@@ -274,7 +357,7 @@ WITH {PAIR} SELECT CITY, Current_Price, Days_On_Market, Sales_Volume, Base_Price
              + AVG_UNEMPLOYMENT_RATE * 0.2::DOUBLE, 6) AS Investment_Score
 FROM cur LEFT JOIN bas USING (CITY) CROSS JOIN rate
 WHERE Base_Price IS NOT NULL AND Current_Price < 53000
-ORDER BY Investment_Score ASC NULLS FIRST, CITY LIMIT 20""",
+ORDER BY Investment_Score ASC NULLS FIRST, CITY LIMIT 3""",
     "ultimate_score": _ultimate("Sales_Volume::DOUBLE / mv"),
     "ultimate_score_intdiv": _ultimate("Sales_Volume // mv"),
     "city_profile": f"WITH {PLACES} SELECT * FROM profile",

@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from homespan.catalogue import star_tables as star
-from homespan.config import WEIGHTS_A, MarketSettings
-from homespan.operators import audit, growth, labour, layers, profile, ranking, scoring
+from homespan.config import FEED_FILES, WEIGHTS_A, MarketSettings
+from homespan.operators import audit, labour, layers, profile, ranking, scoring
 from homespan.plans import reports
-from homespan.sources.payloads import labour_table, series_payloads, table_payloads
-from homespan.sources.tables import materialize, preview
+from homespan.sources.landings import PLACE_KEYS, POINT_KEYS, latest, records
+from homespan.sources.payloads import labour_table, open_series, open_tables, series_payloads, table_payloads
+from homespan.sources.tables import materialize, materialize_by, preview
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +51,8 @@ SETTINGS = MarketSettings(
 )
 SEARCH_WORD = "nation_1"
 S = SETTINGS
+SHORT = 3
+METRO_PLACE = ("CITY", "PARENT_METRO_REGION")
 
 
 def rounded(df: DataFrame, places: int, columns: Iterable[str]) -> DataFrame:
@@ -103,6 +106,40 @@ def place_payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_payloads(star.place_payloads(spark, sf_dir), ["NAME", "B19013_001E", "place"]).rows
 
 
+PLACE_CELLS = ("NAME", "B19013_001E", "state", "place")
+
+
+def place_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest row of every place over responses that landed repeatedly, beside unusable ones."""
+    landed = records(open_tables(star.place_landings(spark, sf_dir), PLACE_CELLS)).filter("NOT REJECTED")
+    return latest(landed.drop("REJECTED", "REASON", "PAYLOAD"), PLACE_KEYS)
+
+
+def payload_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads and rows by the reason for which they were set aside, usable ones among them."""
+    told = records(open_tables(star.place_landings(spark, sf_dir), PLACE_CELLS))
+    payloads = F.count_if(F.col("REJECTED") | (F.col("POSITION") == 0)).alias("PAYLOADS")
+    by_reason = told.groupBy(F.coalesce("REASON", F.lit("usable")).alias("REASON"))
+    return by_reason.agg(payloads, F.count("POSITION").alias("ROW_COUNT"))
+
+
+def labour_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest point of every series and period over responses of many points, some of which were corrected later."""
+    landed = records(open_series(star.labour_landings(spark, sf_dir))).filter("NOT REJECTED")
+    points = latest(landed.drop("REJECTED", "REASON", "PAYLOAD"), POINT_KEYS)
+    return points.withColumn("value", F.col("value").cast("double"))
+
+
+def feed_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.feed_counts(spark, {"city": star.damaged_feed(spark, sf_dir)}, list(FEED_FILES))
+
+
+def bronze_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One state of the damaged feed through all three layers; rows whose date cannot be read have no year."""
+    bronze = layers.state_slice(star.damaged_feed(spark, sf_dir), S.state_code)
+    return layers.summarize(layers.clean(bronze), exact_scale=S.exact_scale)
+
+
 def bronze_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.state_slice(star.market_feed(spark, sf_dir), S.state_code)
 
@@ -159,7 +196,8 @@ def yoy_change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_cities_latest_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_cities_latest_year(materialize(gold_of(spark, sf_dir)), S.home_type)
+    """Over gold stored by year, as the pipeline stores it, so that only the latest year's files are read again."""
+    return reports.top_cities_latest_year(materialize_by(gold_of(spark, sf_dir), "YEAR"), S.home_type)
 
 
 def top_cities_min_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +206,8 @@ def top_cities_min_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deal_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.best_deals(gold_year(spark, sf_dir, S.current_year), S.home_type, S.current_year, S.deal_floor)
+    gold = gold_year(spark, sf_dir, S.current_year)
+    return reports.best_deals(gold, S.home_type, S.current_year, S.deal_floor, SHORT)
 
 
 def appreciation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,12 +215,29 @@ def appreciation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(gained, 6, ["Appreciation_Pct", "Annualized_Return_Pct"])
 
 
+def _metro_gold(spark: SparkSession, sf_dir: str, years: star.Years) -> DataFrame:
+    silver = star.market_silver(spark, sf_dir, years)
+    return layers.summarize(silver, (*METRO_PLACE, "YEAR", "PROPERTY_TYPE"), S.exact_scale)
+
+
+def appreciation_by_metro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cities of one name in several metros stay apart."""
+    gold = _metro_gold(spark, sf_dir, (S.base_year, S.current_year))
+    gained = reports.appreciation(gold, S.home_type, S.current_year, S.base_year, place=METRO_PLACE)
+    return rounded(gained, 6, ["Appreciation_Pct", "Annualized_Return_Pct"])
+
+
+def yoy_change_by_metro(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gold = _metro_gold(spark, sf_dir, (S.change_first_year, None))
+    return reports.yearly_change(gold, S.panel_cities, S.all_types, S.change_first_year, place=METRO_PLACE)
+
+
 def unemployment_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labour.yearly_rate(star.labour_rates(spark, sf_dir), S.labour_metro, S.labour_year, S.exact_scale)
 
 
 def investment_score(
-    spark: SparkSession, sf_dir: str, min_sold: int = S.score_floor, price_cap: float = S.price_cap
+    spark: SparkSession, sf_dir: str, min_sold: int = S.score_floor, price_cap: float = S.price_cap, n: int = SHORT
 ) -> DataFrame:
     scored = reports.investment_score(
         gold_pair(spark, sf_dir),
@@ -193,6 +249,7 @@ def investment_score(
         min_sold,
         price_cap,
         S.focus_cities,
+        n,
         exact_scale=S.exact_scale,
         metro=S.labour_metro,
     )
@@ -210,6 +267,7 @@ def _ultimate(spark: SparkSession, sf_dir: str, integer_volume_ratio: bool) -> D
         S.score_floor,
         S.focus_cities,
         integer_volume_ratio,
+        SHORT,
         exact_scale=S.exact_scale,
         metro=S.labour_metro,
     )
@@ -329,9 +387,10 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         source_row_audit, cleaning_audit, json_payload_extract, labour_payload_points, labour_typed,
-        place_payload_rows, bronze_state, metro_slice, metro_cities, silver_clean, gold_summary, gold_preview,
+        place_payload_rows, place_landings, payload_rejects, labour_landings, feed_audit, bronze_to_gold, bronze_state, metro_slice, metro_cities, silver_clean, gold_summary, gold_preview,
         price_ranges, price_extremes, top_cities_report, city_yearly_trend, city_year_panel, yoy_change,
-        top_cities_latest_year, top_cities_min_volume, deal_score, appreciation, unemployment_year,
+        top_cities_latest_year, top_cities_min_volume, deal_score, appreciation, appreciation_by_metro,
+        yoy_change_by_metro, unemployment_year,
         investment_score, ultimate_score, ultimate_score_intdiv, city_profile, largest_places, city_semi_match,
         city_search, city_combined, customer_ranks, city_scores, city_scores_profile_a, ranking_head, ranking_tail,
         benchmark_overlap, benchmark_agreement, benchmark_lookup, price_trend, property_types, city_metrics,

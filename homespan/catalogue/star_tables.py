@@ -98,6 +98,20 @@ def market_feed(spark: SparkSession, sf_dir: str, years: Years | None = None) ->
     return market_values(spark, sf_dir, years).selectExpr(*cells)
 
 
+DAMAGED = {
+    "PERIOD_END": "CASE WHEN MEDIAN_DOM % 13 = 5 THEN date_format(PERIOD_END, 'dd/MM/yyyy') ELSE cast(PERIOD_END AS string) END",
+    "HOMES_SOLD": """CASE MEDIAN_DOM % 17 WHEN 3 THEN 'many' WHEN 4 THEN concat(HOMES_SOLD, '.5')
+                     ELSE cast(HOMES_SOLD AS string) END""",
+    "MEDIAN_SALE_PRICE": "CASE WHEN MEDIAN_DOM % 19 = 7 THEN 'on request' ELSE cast(MEDIAN_SALE_PRICE AS string) END",
+}
+
+
+def damaged_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole feed with dates, volumes and prices of some rows in a text that cannot be read, or read in part."""
+    cells = [f"coalesce({DAMAGED.get(c, f'cast({c} AS string)')}, '{MISSING}') AS {c}" for c in MARKET_COLUMNS]
+    return market_values(spark, sf_dir).selectExpr(*cells)
+
+
 def place_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One place per nation with the payload's variable names, all text; customers fold before the join.
 
@@ -158,3 +172,56 @@ def labour_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                 'year', date_format(ts, 'yyyy'), 'period', 'M' || date_format(ts, 'MM'),
                 'periodName', date_format(ts, 'MMMM'), 'value', cast(value AS string)))))))) AS PAYLOAD""",
     )
+
+
+PLACE_HEADER = "array('NAME', 'B19013_001E', 'state', 'place')"
+
+
+def place_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed table responses of up to 40 customers each, every customer in at least one.
+
+    A third of them landed again with other names, and that once more in a further file; beside some lies a response
+    cut short, one without rows, or one whose header lacks a column.
+    """
+    cells = "cast(c_acctbal AS string), lpad(cast(c_nationkey AS string), 2, '0'), cast(c_custkey AS string)"
+    rows = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey div 40 AS block",
+        f"struct(c_custkey, array(c_name || ' city, Texas', {cells}) AS cells) AS first",
+        f"struct(c_custkey, array(c_name || ' town, Texas', {cells}) AS cells) AS second",
+    )
+    listed = "to_json(concat(array({h}), transform(array_sort(collect_list({c})), r -> r.cells))) AS {c}"
+    blocks = rows.groupBy("block").agg(*[F.expr(listed.format(h=PLACE_HEADER, c=c)) for c in ("first", "second")])
+    return blocks.selectExpr(
+        "block",
+        f"""inline(filter(array(
+            named_struct('landing', 1, 'kind', 'all', 'PAYLOAD', first),
+            named_struct('landing', 2, 'kind', IF(block % 3 = 0, 'again', null), 'PAYLOAD', second),
+            named_struct('landing', 2, 'kind', IF(block % 3 = 0, 'again, copied', null), 'PAYLOAD', second),
+            named_struct('landing', 3, 'kind', IF(block % 7 = 3, 'cut', null), 'PAYLOAD', substr(first, 1, length(first) div 2)),
+            named_struct('landing', 3, 'kind', IF(block % 7 = 5, 'empty', null), 'PAYLOAD', to_json(array({PLACE_HEADER}))),
+            named_struct('landing', 3, 'kind', IF(block % 7 = 6, 'narrow', null), 'PAYLOAD', replace(second, '"place"', '"PLACE_NO"'))
+        ), l -> l.kind IS NOT NULL))""",
+    ).selectExpr(
+        "concat_ws('/', block, landing, kind) AS PAYLOAD_FILE",
+        "timestamp_seconds(1700000000 + landing) AS LANDED_AT",
+        "PAYLOAD",
+    )
+
+
+def labour_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed series responses of 50 events each: a series per event type, a point per event; a quarter came again, raised by one."""
+    point = """struct(event_id, named_struct('year', date_format(ts, 'yyyy'), 'period', 'E' || event_id, 'periodName',
+               date_format(ts, 'MMMM'), 'value', cast(value + {raised} AS string)) AS p) AS {name}"""
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_id div 50 AS block", "event_type", point.format(raised=0, name="first"), point.format(raised=1, name="second")
+    )
+    listed = "transform(array_sort(collect_list({c})), x -> x.p) AS {c}"
+    series = events.groupBy("block", "event_type").agg(*[F.expr(listed.format(c=c)) for c in ("first", "second")])
+    body = """to_json(named_struct('status', 'REQUEST_SUCCEEDED', 'Results', named_struct('series', array_sort(collect_list(
+              named_struct('seriesID', event_type, 'data', {c})))))) AS {c}"""
+    blocks = series.groupBy("block").agg(*[F.expr(body.format(c=c)) for c in ("first", "second")])
+    return blocks.selectExpr(
+        "block",
+        """inline(filter(array(named_struct('landing', 1, 'PAYLOAD', first),
+            named_struct('landing', 2, 'PAYLOAD', IF(block % 4 = 1, second, null))), l -> l.PAYLOAD IS NOT NULL))""",
+    ).selectExpr("concat_ws('/', block, landing) AS PAYLOAD_FILE", "timestamp_seconds(1700000000 + landing) AS LANDED_AT", "PAYLOAD")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from homespan.config import HIGHER_IS_BETTER, LOWER_IS_BETTER, WEIGHTS_B
 from homespan.functions.numeric import ratio
+from homespan.sources.tables import materialize
 
 RANK_RANGES = 200
 
@@ -58,9 +59,12 @@ def average_rank(
 
     Null and NaN scores have a null rank; infinite scores are ranked. Ties fold into one row per distinct score,
     scores are cut at their quantiles into ``ranges`` ranges, ranges are ordered in parallel, and each starts from the
-    row count of the ranges above it. The same plan serves every size. ``df`` is read more than
-    once: pass a stored or materialized frame.
+    row count of the ranges above it. The same plan serves every size.
+
+    Rows are read three times: for the cuts, the ties and the result. They are stored in the checkpoint folder first, so that
+    all three see the same doubles, whatever the order in which ``df`` adds them up when it is computed again.
     """
+    df = materialize(df)
     scored = df.filter(F.col(score).isNotNull() & ~F.isnan(score))
     ties = scored.groupBy(score).agg(F.count(F.lit(1)).alias("TIES"))
     shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
@@ -88,8 +92,7 @@ def composite_ranking(
 ) -> DataFrame:
     """Scores, weighted total and rank for every place.
 
-    ``combined`` is read several times (extremes, ties, result): pass a stored or
-    materialized frame.
+    ``combined`` is read twice, for the extremes and for the rows: pass a stored or materialized frame.
     """
     places = with_good_income(combined) if drop_bad_income else combined
     scored = min_max_scores(places).withColumn("OVERALL_SCORE", weighted_score(weights))

@@ -2,18 +2,22 @@
 
 Every ``limit`` follows a total order: the measure, then key columns. Null measures sort
 lowest, which is Spark's own default in both directions.
+
+``place`` names the columns that tell places apart. Gold grouped by city alone has ``("CITY",)``; gold that keeps, say, the
+metro beside the city passes both to every report, and places of one name stay apart in rows, folds, windows and ties.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from homespan.functions.numeric import ratio, whole_ratio
-from homespan.operators.growth import annualized_return, period_pair, total_appreciation, with_previous
+from homespan.operators.growth import PLACE, annualized_return, period_pair, total_appreciation, with_previous
 from homespan.operators.labour import one_value, overall_rate, yearly_rate
+from homespan.sources.tables import materialize
 
 
 def _of_type(gold: DataFrame, property_type: str) -> DataFrame:
@@ -39,20 +43,20 @@ def price_ranges(gold: DataFrame) -> DataFrame:
     )
 
 
-def price_extremes(gold: DataFrame) -> DataFrame:
+def price_extremes(gold: DataFrame, place: Sequence[str] = PLACE) -> DataFrame:
     """The dearest and the cheapest city-year of each property type.
 
     Both come from one aggregation with map-side folding: the least (price, city, year)
     triple, and the least triple with the price negated, so that ties resolve alike.
     """
     price = F.col("AVG_SALE_PRICE")
-    rest = ("CITY", "YEAR", "TOTAL_HOMES_SOLD")
+    rest = (*place, "YEAR", "TOTAL_HOMES_SOLD")
 
     def first_by(order: Column) -> Column:
         return F.min(F.struct(order.alias("ORDER_BY"), *rest, price.alias("AVG_SALE_PRICE")))
 
     def tagged(tag: str, found: str) -> Column:
-        fields = ("CITY", "YEAR", "AVG_SALE_PRICE", "TOTAL_HOMES_SOLD")
+        fields = (*place, "YEAR", "AVG_SALE_PRICE", "TOTAL_HOMES_SOLD")
         return F.struct(F.lit(tag).alias("PriceCategory"), *[F.col(f"{found}.{f}").alias(f) for f in fields])
 
     per_type = (
@@ -62,37 +66,42 @@ def price_extremes(gold: DataFrame) -> DataFrame:
     )
     rows = per_type.select("PROPERTY_TYPE", F.inline(F.array(tagged("HIGHEST", "TOP"), tagged("LOWEST", "BOTTOM"))))
     return rows.select(
-        "PriceCategory", "PROPERTY_TYPE", "CITY", "YEAR", "AVG_SALE_PRICE", "TOTAL_HOMES_SOLD"
+        "PriceCategory", "PROPERTY_TYPE", *place, "YEAR", "AVG_SALE_PRICE", "TOTAL_HOMES_SOLD"
     ).orderBy(F.desc("PriceCategory"), "PROPERTY_TYPE")
 
 
 # ---- top lists ----------------------------------------------------------------------
 
 
-def top_cities_latest_year(gold: DataFrame, property_type: str, n: int = 10) -> DataFrame:
+def top_cities_latest_year(
+    gold: DataFrame, property_type: str, n: int = 10, place: Sequence[str] = PLACE
+) -> DataFrame:
     """Dearest cities of a type in the latest year of the whole table, whatever the type.
 
-    Reads ``gold`` twice; pass a stored or materialized frame.
+    Reads ``gold`` twice; pass a table stored by year. The latest year then comes from its folders' names alone, and at run
+    time the rows are read from that year's files only.
     """
     latest = gold.agg(F.max("YEAR")).scalar()
     return (
         _of_type(gold, property_type)
         .filter((F.col("YEAR") == latest) & F.col("AVG_SALE_PRICE").isNotNull())
-        .select("CITY", "YEAR", "AVG_SALE_PRICE", "AVG_PRICE_PER_SQFT", "TOTAL_HOMES_SOLD")
-        .orderBy(F.desc("AVG_SALE_PRICE"), "CITY")
+        .select(*place, "YEAR", "AVG_SALE_PRICE", "AVG_PRICE_PER_SQFT", "TOTAL_HOMES_SOLD")
+        .orderBy(F.desc("AVG_SALE_PRICE"), *place)
         .limit(n)
     )
 
 
-def top_cities_min_volume(gold: DataFrame, property_type: str, year: int, min_sold: int, n: int = 10) -> DataFrame:
+def top_cities_min_volume(
+    gold: DataFrame, property_type: str, year: int, min_sold: int, n: int = 10, place: Sequence[str] = PLACE
+) -> DataFrame:
     """Dearest cities of a type and year with enough sales to trust the price."""
     return (
         _of_type(gold, property_type)
         .filter(
             (F.col("YEAR") == year) & (F.col("TOTAL_HOMES_SOLD") >= min_sold) & F.col("AVG_SALE_PRICE").isNotNull()
         )
-        .select("CITY", "PROPERTY_TYPE", "YEAR", "AVG_SALE_PRICE", "AVG_PRICE_PER_SQFT", "TOTAL_HOMES_SOLD")
-        .orderBy(F.desc("AVG_SALE_PRICE"), "CITY")
+        .select(*place, "PROPERTY_TYPE", "YEAR", "AVG_SALE_PRICE", "AVG_PRICE_PER_SQFT", "TOTAL_HOMES_SOLD")
+        .orderBy(F.desc("AVG_SALE_PRICE"), *place)
         .limit(n)
     )
 
@@ -104,7 +113,9 @@ def deal_score() -> Column:
     )
 
 
-def best_deals(gold: DataFrame, property_type: str, year: int, min_sold: int, n: int = 20) -> DataFrame:
+def best_deals(
+    gold: DataFrame, property_type: str, year: int, min_sold: int, n: int = 20, place: Sequence[str] = PLACE
+) -> DataFrame:
     return (
         _of_type(gold, property_type)
         .filter(
@@ -114,26 +125,28 @@ def best_deals(gold: DataFrame, property_type: str, year: int, min_sold: int, n:
             & F.col("AVG_SALE_PRICE").isNotNull()
         )
         .select(
-            "CITY", "YEAR", "PROPERTY_TYPE", "AVG_SALE_PRICE", "AVG_DAYS_ON_MARKET", "TOTAL_HOMES_SOLD",
+            *place, "YEAR", "PROPERTY_TYPE", "AVG_SALE_PRICE", "AVG_DAYS_ON_MARKET", "TOTAL_HOMES_SOLD",
             "AVG_PRICE_PER_SQFT", deal_score().alias("DealScore"),
         )
-        .orderBy("DealScore", "CITY")
+        .orderBy("DealScore", *place)
         .limit(n)
     )
 
 
-def top_cities(gold: DataFrame, property_type: str, year: int, n: int = 10) -> DataFrame:
+def top_cities(
+    gold: DataFrame, property_type: str, year: int, n: int = 10, place: Sequence[str] = PLACE
+) -> DataFrame:
     """Dearest cities of a year by rounded mean price, with days on market and total sold."""
     return (
         _of_type(gold, property_type)
         .filter(F.col("YEAR") == year)
-        .groupBy("CITY")
+        .groupBy(*place)
         .agg(
             F.round(F.avg("AVG_SALE_PRICE"), 0).alias("AVG_PRICE"),
             F.round(F.avg("AVG_DAYS_ON_MARKET"), 0).alias("AVG_DOM"),
             F.sum("TOTAL_HOMES_SOLD").alias("TOTAL_SOLD"),
         )
-        .orderBy(F.desc("AVG_PRICE"), "CITY")
+        .orderBy(F.desc("AVG_PRICE"), *place)
         .limit(n)
     )
 
@@ -159,16 +172,18 @@ def _named_cities(gold: DataFrame, cities: Iterable[str], property_type: str, fi
     return _of_type(gold, property_type).filter(F.col("CITY").isin(*cities) & (F.col("YEAR") >= first_year))
 
 
-def city_year_panel(gold: DataFrame, cities: Iterable[str], property_type: str, first_year: int) -> DataFrame:
+def city_year_panel(
+    gold: DataFrame, cities: Iterable[str], property_type: str, first_year: int, place: Sequence[str] = PLACE
+) -> DataFrame:
     return (
         _named_cities(gold, cities, property_type, first_year)
         .select(
-            "CITY",
+            *place,
             "YEAR",
             F.round("AVG_SALE_PRICE", 0).alias("AVG_PRICE"),
             F.round("AVG_DAYS_ON_MARKET", 0).alias("DAYS_ON_MARKET"),
         )
-        .orderBy("CITY", "YEAR")
+        .orderBy(*place, "YEAR")
     )
 
 
@@ -178,20 +193,21 @@ def yearly_change(
     property_type: str,
     first_year: int,
     require_consecutive: bool = False,
+    place: Sequence[str] = PLACE,
 ) -> DataFrame:
     """Price change against the previous kept year; each city's first kept year has none."""
     price, previous = F.col("AVG_SALE_PRICE"), F.col("PREVIOUS")
     rows = _named_cities(gold, cities, property_type, first_year)
     return (
-        with_previous(rows, "AVG_SALE_PRICE", require_consecutive=require_consecutive)
+        with_previous(rows, "AVG_SALE_PRICE", place, require_consecutive=require_consecutive)
         .select(
-            "CITY",
+            *place,
             "YEAR",
             F.round(price, 0).alias("AVG_PRICE"),
             F.round(price - previous, 0).alias("PRICE_CHANGE"),
             F.round(ratio(price - previous, previous) * 100, 1).alias("PCT_CHANGE"),
         )
-        .orderBy("CITY", "YEAR")
+        .orderBy(*place, "YEAR")
     )
 
 
@@ -205,11 +221,12 @@ def appreciation(
     base_year: int,
     min_sold: int | None = None,
     cities: Iterable[str] | None = None,
+    place: Sequence[str] = PLACE,
 ) -> DataFrame:
     """Total gain and annualised return of every city that has both years."""
     now, base = F.col("Current_Price"), F.col("Base_Price")
     return (
-        period_pair(gold, property_type, current_year, base_year, min_sold, cities)
+        period_pair(gold, property_type, current_year, base_year, min_sold, cities, place)
         .filter(base.isNotNull())
         .withColumns(
             {
@@ -232,6 +249,7 @@ def investment_score(
     cities: Iterable[str] | None = None,
     n: int = 20,
     exact_scale: int | None = None,
+    place: Sequence[str] = PLACE,
     *,
     metro: str,
 ) -> DataFrame:
@@ -241,16 +259,16 @@ def investment_score(
     gain = F.coalesce("Annualized_Return_Pct", F.lit(0.0))
     score = F.col("Current_Price") / 100_000.0 * 0.3 + (100 - gain) * 0.5 + F.col("Unemployment_Rate") * 0.2
     return (
-        appreciation(gold, property_type, current_year, base_year, min_sold, cities)
+        appreciation(gold, property_type, current_year, base_year, min_sold, cities, place)
         .filter(F.col("Current_Price") < price_cap)
         .withColumn("RATE", found)
         .filter(F.col("RATE").isNotNull())
         .withColumn("Unemployment_Rate", F.col("RATE.AVG_UNEMPLOYMENT_RATE"))
         .select(
-            "CITY", "Current_Price", "Days_On_Market", "Sales_Volume", "Base_Price", "Unemployment_Rate",
+            *place, "Current_Price", "Days_On_Market", "Sales_Volume", "Base_Price", "Unemployment_Rate",
             "Appreciation_Pct", "Annualized_Return_Pct", score.alias("Investment_Score"),
         )
-        .orderBy("Investment_Score", "CITY")
+        .orderBy("Investment_Score", *place)
         .limit(n)
     )
 
@@ -267,17 +285,18 @@ def ultimate_score(
     integer_volume_ratio: bool = False,
     n: int = 20,
     exact_scale: int | None = None,
+    place: Sequence[str] = PLACE,
     *,
     metro: str,
 ) -> DataFrame:
     """Price, speed, volume, appreciation and unemployment in one score; lowest is best.
 
-    The maxima are over every city with a current year, also those without a base year.
-    They come from the same gold groups as the rows, so Spark reuses that exchange and the
-    feed is read once. ``integer_volume_ratio`` divides volumes as whole numbers. A missing
-    labour year leaves the score null.
+    The maxima are over every city with a current year, also those without a base year. Both they and the rows come
+    from the city-level pair, which is stored in the checkpoint folder when the report is asked for, so that whatever
+    gold is made of is read and grouped once under any settings. ``integer_volume_ratio`` divides volumes as whole
+    numbers. A missing labour year leaves the score null.
     """
-    pair = period_pair(gold, property_type, current_year, base_year, min_sold, cities)
+    pair = materialize(period_pair(gold, property_type, current_year, base_year, min_sold, cities, place))
     maxima = pair.agg(
         F.struct(
             F.max("Current_Price").alias("price"),
@@ -305,11 +324,11 @@ def ultimate_score(
             }
         )
         .select(
-            "CITY", "Current_Price", "Days_On_Market", "Sales_Volume", "Base_Price",
+            *place, "Current_Price", "Days_On_Market", "Sales_Volume", "Base_Price",
             F.round(total_appreciation(now, base), 1).alias("Appreciation_Pct"),
             "Unemployment_Rate", score.alias("Ultimate_Score"),
         )
-        .orderBy("Ultimate_Score", "CITY")
+        .orderBy("Ultimate_Score", *place)
         .limit(n)
     )
 
@@ -332,10 +351,10 @@ def property_types(gold: DataFrame) -> DataFrame:
     return gold.select("PROPERTY_TYPE").distinct().orderBy("PROPERTY_TYPE")
 
 
-def city_metrics(gold: DataFrame, property_type: str | None = None) -> DataFrame:
+def city_metrics(gold: DataFrame, property_type: str | None = None, place: Sequence[str] = PLACE) -> DataFrame:
     """Detail table, for one slicer value or all."""
     rows = gold if property_type is None else _of_type(gold, property_type)
-    return rows.orderBy("CITY", "YEAR", "PROPERTY_TYPE")
+    return rows.orderBy(*place, "YEAR", "PROPERTY_TYPE")
 
 
 def kpi_cards(gold: DataFrame, property_type: str | None = None) -> DataFrame:

@@ -23,3 +23,19 @@ def ran_plan_text(df):
             continue
         kept.append(line)
     return "\n".join(kept)
+
+
+def files_read(df):
+    """How many files each scan of a collected frame read, subqueries included."""
+    found, left = [], [df._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        if node.nodeName().startswith("Scan parquet"):
+            found.append(node.metrics().apply("numFiles").value())
+        if node.nodeName() == "AdaptiveSparkPlan":
+            left.append(node.executedPlan())
+        elif hasattr(node, "plan") and node.getClass().getSimpleName().endswith("QueryStageExec"):
+            left.append(node.plan())
+        for group in (node.children(), node.subqueries()):
+            left += [group.apply(i) for i in range(group.size())]
+    return found

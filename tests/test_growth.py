@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from homespan.operators import growth, labour
+from homespan.plans import reports
 from tests.frames import gold, values
 from tests.frames import labour as rates
 
@@ -65,3 +66,49 @@ def test_other_metros_do_not_blend_into_the_rate(spark):
     assert values(labour.yearly_rate(points, "A", 2024)) == [(2024, 4.0)]
     assert values(labour.overall_rate(points, "A", 2024)) == [(4.0,)]
     assert values(labour.yearly_rate(points, "C", 2024)) == []
+
+
+def two_troys(spark):
+    """Gold of a city name that two metros share, beside one that is alone."""
+    rows = [("Troy", "Detroit", 2020, 100.0), ("Troy", "Detroit", 2025, 150.0), ("Troy", "Albany", 2020, 200.0),
+            ("Troy", "Albany", 2025, 220.0), ("Reno", "Reno", 2020, 50.0), ("Reno", "Reno", 2025, 100.0)]
+    return spark.createDataFrame(
+        [(c, m, y, "T", p, p, 100, 10.0, 1.0) for c, m, y, p in rows],
+        "CITY string, METRO string, YEAR int, PROPERTY_TYPE string, AVG_SALE_PRICE double, AVG_PRICE_PER_SQFT double, "
+        "TOTAL_HOMES_SOLD long, AVG_DAYS_ON_MARKET double, AVG_INVENTORY double",
+    )
+
+
+PLACE = ("CITY", "METRO")
+
+
+def test_places_of_one_name_stay_apart(spark):
+    gold = two_troys(spark)  # noqa: F811
+    gained = reports.appreciation(gold, "T", 2025, 2020, place=PLACE)
+    assert sorted(values(gained, *PLACE, "Appreciation_Pct")) == [
+        ("Reno", "Reno", 100.0), ("Troy", "Albany", 10.0), ("Troy", "Detroit", 50.0)]
+    unemployment = rates(spark, (2024, 4.0))
+    for report in (
+        reports.investment_score(gold, unemployment, "T", 2025, 2020, 2024, 1, 1e9, place=PLACE, metro="Metro"),
+        reports.ultimate_score(gold, unemployment, "T", 2025, 2020, 2024, 1, place=PLACE, metro="Metro"),
+        reports.top_cities(gold, "T", 2025, place=PLACE), reports.best_deals(gold, "T", 2025, 1, place=PLACE),
+        reports.top_cities_min_volume(gold, "T", 2025, 1, place=PLACE), reports.top_cities_latest_year(gold, "T", place=PLACE),
+    ):
+        assert sorted(values(report, *PLACE)) == [("Reno", "Reno"), ("Troy", "Albany"), ("Troy", "Detroit")]
+    changed = reports.yearly_change(gold, ["Troy"], "T", 2020, place=PLACE)
+    assert values(changed, *PLACE, "YEAR", "PRICE_CHANGE") == [
+        ("Troy", "Albany", 2020, None), ("Troy", "Albany", 2025, 20.0), ("Troy", "Detroit", 2020, None), ("Troy", "Detroit", 2025, 50.0)]
+    assert values(reports.city_year_panel(gold, ["Troy"], "T", 2025, PLACE), *PLACE, "AVG_PRICE") == [
+        ("Troy", "Albany", 220.0), ("Troy", "Detroit", 150.0)]
+    assert values(reports.price_extremes(gold, PLACE), "PriceCategory", *PLACE) == [("LOWEST", "Reno", "Reno"), ("HIGHEST", "Troy", "Albany")]
+    assert values(reports.city_metrics(gold, "T", PLACE), *PLACE)[2:] == [("Troy", "Albany")] * 2 + [("Troy", "Detroit")] * 2
+
+
+def test_a_key_that_blends_places_fails(spark):
+    gold = two_troys(spark)
+    for report in (
+        reports.appreciation(gold, "T", 2025, 2020), reports.yearly_change(gold, ["Troy"], "T", 2020),
+    ):
+        with pytest.raises(Exception, match="name all key columns"):
+            report.collect()
+    assert values(reports.appreciation(gold.filter("CITY = 'Reno'"), "T", 2025, 2020), "CITY") == [("Reno",)]

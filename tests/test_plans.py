@@ -8,15 +8,41 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entrypoint
 from homespan.catalogue import queries as q
 from homespan.operators import layers, scoring
-from homespan.sources.tables import write_table
+from homespan.plans import reports
+from homespan.sources.tables import read_table, write_table
 from tests.conftest import TESTDATA
-from tests.plans import final_plan_text, plan_text
+from tests.plans import files_read, final_plan_text, plan_text
 
 FOLDER = str(TESTDATA / "sf0.001")
 
 
-def test_maxima_reuse_the_exchange_of_the_rows(spark):
-    assert "ReusedExchange" in final_plan_text(q.ultimate_score(spark, FOLDER))
+@pytest.mark.parametrize("broadcasts", ["-1", "10m"])
+def test_the_five_factor_score_groups_gold_once(spark, monkeypatch, broadcasts):
+    """The pair is stored once, from one grouping of the feed; what is left reads city-level rows alone."""
+    plans = []
+    plain = reports.materialize
+    monkeypatch.setattr(reports, "materialize", lambda df: plans.append(final_plan_text(df)) or plain(df))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcasts)
+    try:
+        rest = final_plan_text(q.ultimate_score(spark, FOLDER))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(plans) == 1
+    assert len(re.findall(r"FileScan parquet .*lineitem\.parquet", plans[0])) == 1 and "lineitem" not in rest
+    assert len(re.findall(r"HashAggregate\(keys=\[n_name", plans[0])) <= 2 and "n_name" not in rest
+
+
+def test_the_latest_year_is_pruned_at_run_time(spark, tmp_path):
+    gold = q.gold_of(spark, FOLDER)
+    written = write_table(gold, str(tmp_path / "gold"), partition_by=["YEAR"])
+    stored = read_table(spark, written.path, schema=written.schema)
+    found = reports.top_cities_latest_year(stored, "ECONOMY")
+    text = final_plan_text(found)
+    assert re.search(r"PartitionFilters: \[[^\]]*YEAR#\d+ = Subquery", text)
+    scans = files_read(found)
+    years = {r[0] for r in gold.select("YEAR").distinct().collect()}
+    assert len(years) > 2 and min(scans) == len(list((tmp_path / "gold" / f"YEAR={max(years)}").glob("part-*")))
 
 
 def test_type_and_year_reach_the_scans(spark):
