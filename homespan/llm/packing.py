@@ -9,7 +9,7 @@ shard, which is cut into sequences of powers of two, which need no padding.
 
 Dealing. A document's strongest terms are those with the largest BM25 weight by counts over the whole table, of terms that
 another document has too. Documents with the same strongest term make a bucket; a bucket larger than a shard is split
-by the second term, then by the third, and what is still too large by a hash. Buckets in order of their terms fill the
+by the second term, then by the third, and what is still too large by a hash of the row, copies included. Buckets in order of their terms fill the
 shards. Related documents that agree in no strongest term may still lie in different shards: a seed's neighbours are
 those of its shard.
 
@@ -50,17 +50,28 @@ PIECES = pa.schema(
 )
 
 
+def distinct_terms(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Owner, term and count of every distinct term of every document, by owner and term, and where each owner's begin."""
+    lengths = np.array([len(d) for d in documents], np.int64)
+    flat = np.concatenate([np.zeros(0, np.uint16), *documents])
+    bits = max(1, int(flat.max(initial=0)).bit_length())
+    kind = np.uint32 if bits + len(documents).bit_length() <= 32 else np.uint64
+    keys = np.repeat(np.arange(len(documents), dtype=kind) << kind(bits), lengths) | flat.astype(kind)
+    keys.sort()
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    times = np.diff(np.append(first, len(keys)))
+    found = keys[first]
+    owner = (found >> kind(bits)).astype(np.int64)
+    begins = np.searchsorted(owner, np.arange(len(documents) + 1))
+    return owner, (found & kind((1 << bits) - 1)).astype(np.int64), times, begins
+
+
 class Bm25:
     """Inverted index over the documents of a shard: postings by term with their BM25 weights."""
 
     def __init__(self, documents: list[np.ndarray]):
         n = len(documents)
-        found = [np.unique(d, return_counts=True) for d in documents]
-        sizes = np.array([len(t) for t, _ in found], np.int64)
-        self.bounds = np.concatenate([[0], np.cumsum(sizes)])
-        self.terms = np.concatenate([np.zeros(0, np.uint16), *(t for t, _ in found)])
-        times = np.concatenate([np.zeros(0), *(c for _, c in found)])
-        owner = np.repeat(np.arange(n), sizes)
+        owner, self.terms, times, self.bounds = distinct_terms(documents)
         lengths = np.array([len(d) for d in documents], float)
         held = np.bincount(self.terms, minlength=1)
         rarity = np.log1p((n - held + 0.5) / (held + 0.5))
@@ -89,7 +100,7 @@ class Bm25:
 
 def packing_order(documents: list[np.ndarray], length: int) -> list[int]:
     """Documents in the order in which they fill the windows; ``documents`` include their end ids."""
-    index = Bm25([d[:-1].astype(np.uint16) for d in documents])
+    index = Bm25([d[:-1] for d in documents])
     unused = np.ones(len(documents), bool)
     order: list[int] = []
     following, filled, seed, queue = 0, 0, -1, iter(())
@@ -169,14 +180,20 @@ def id_type(size: int) -> str:
     return "<u2" if size <= 1 << 16 else "<u4"
 
 
+def _id_parts(batches: Iterable[pa.RecordBatch], kind: str) -> Iterator[list[np.ndarray]]:
+    """Ids of some texts at a time."""
+    for batch in batches:
+        raw = batch.column("ids").to_pylist()
+        for part in in_chunks(map(len, raw), CHUNK_BYTES):
+            yield [np.frombuffer(r, kind) for r in raw[part]]
+
+
 def _terms_held(batches: Iterable[pa.RecordBatch], kind: str, size: int) -> Iterator[pa.RecordBatch]:
     """In how many documents each term is, and the numbers of documents and ids."""
     held, documents, ids = np.zeros(size, np.int64), 0, 0
-    for batch in batches:
-        for raw in batch.column("ids").to_pylist():
-            text = np.frombuffer(raw, kind)
-            held[np.unique(text)] += 1
-            documents, ids = documents + 1, ids + len(text)
+    for texts in _id_parts(batches, kind):
+        held += np.bincount(distinct_terms(texts)[1], minlength=size)
+        documents, ids = documents + len(texts), ids + sum(map(len, texts))
     terms = np.flatnonzero(held)
     columns = {"term": np.append(terms, [DOCUMENTS, IDS]), "n": np.append(held[terms], [documents, ids])}
     yield emit(columns, TERMS)
@@ -193,16 +210,23 @@ def term_rarity(coded: DataFrame, kind: str, size: int) -> tuple[np.ndarray, flo
     return rarity, max(1.0, ids / max(1, documents))
 
 
-def strongest_terms(text: np.ndarray, rarity: np.ndarray, mean: float) -> list[int]:
-    """The terms with the largest BM25 weights, filled up with -1."""
-    terms, times = np.unique(text, return_counts=True)
-    weights = rarity[terms] * times / (times + K1 * (1 - B + B * len(text) / mean))
-    if len(terms) > len(FIRST):
-        least = np.partition(weights, -len(FIRST))[-len(FIRST)]
-        terms, weights = terms[weights >= least], weights[weights >= least]
-    order = np.lexsort((terms, -weights))[: len(FIRST)]
-    found = terms[order][weights[order] > 0].tolist()
-    return found + [-1] * (len(FIRST) - len(found))
+def strongest_terms(texts: list[np.ndarray], rarity: np.ndarray, mean: float) -> np.ndarray:
+    """The terms with the largest BM25 weights of each text, the smaller of equal ones first, filled up with -1."""
+    owner, terms, times, begins = distinct_terms(texts)
+    out = np.full((len(texts), len(FIRST)), -1, np.int32)
+    if not len(terms):
+        return out
+    lengths = np.array([len(t) for t in texts], float)
+    weights = rarity[terms] * times / (times + K1 * (1 - B + B * lengths[owner] / mean))
+    some = np.flatnonzero(np.diff(begins))
+    for k in range(len(FIRST)):
+        best = np.zeros(len(texts))
+        best[some] = np.maximum.reduceat(weights, begins[some])
+        places = np.flatnonzero((weights == best[owner]) & (weights > 0))
+        whose, first = np.unique(owner[places], return_index=True)
+        out[whose, k] = terms[places[first]]
+        weights[places[first]] = 0
+    return out
 
 
 def with_strongest_terms(coded: DataFrame, kind: str, rarity: np.ndarray, mean: float) -> DataFrame:
@@ -210,8 +234,8 @@ def with_strongest_terms(coded: DataFrame, kind: str, rarity: np.ndarray, mean:
 
     def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [strongest_terms(np.frombuffer(raw, kind), rarity, mean) for raw in batch.column("ids").to_pylist()]
-            keys = np.array(found, np.int32).reshape(-1, len(FIRST))
+            parts = [strongest_terms(texts, rarity, mean) for texts in _id_parts([batch], kind)]
+            keys = np.concatenate([np.zeros((0, len(FIRST)), np.int32), *parts])
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(k) for k in keys.T)], schema=schema)
 
     return coded.mapInArrow(keyed, f"{CODED_SQL}, {', '.join(f'{n} int' for n in FIRST)}")
@@ -262,8 +286,9 @@ def pack(documents: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int
     """
     size = subwords(tokenizer).size
     kind = id_type(size)
+    place = F.monotonically_increasing_id()  # tells equal rows apart, and is stored with the ids
     rows = documents.select(
-        F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text").alias("mark"), text_bytes().alias("text")
+        F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text", place).alias("mark"), text_bytes().alias("text")
     )
     coded = stored(rows.mapInArrow(lambda b: _coded(b, tokenizer), CODED_SQL))
     dealt = deal(with_strongest_terms(coded, kind, *term_rarity(coded, kind, size)))

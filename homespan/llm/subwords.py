@@ -106,7 +106,7 @@ class Subwords(WordCache):
 
     def _encode_new(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         texts = b"\n".join(words).decode().split("\n")
-        runs = [_simple_runs(t) for t in texts] if self.runs else [None] * len(texts)
+        runs = _simple_runs(texts) if self.runs else [None] * len(texts)
         other = self.tokenizer.encode_batch_fast(
             [t for t, r in zip(texts, runs, strict=True) if r is None], add_special_tokens=False
         )
@@ -137,14 +137,21 @@ WORD_END = "\0"
 #: Lower-case letters that no normalisation changes, single digits, and runs of marks: what the file's own pattern cuts alike.
 _MARKS = r"""!"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~"""
 _SIMPLE = re.compile(rf"[a-zß-öø-ÿ]+|[0-9]|[{_MARKS}]+")
-_ALL_SIMPLE = re.compile(rf"[a-zß-öø-ÿ0-9{_MARKS}]+")
+_SIMPLE_OR_LINE = re.compile(rf"{_SIMPLE.pattern}|\n")
+_NOT_SIMPLE = re.compile(rf"[^a-zß-öø-ÿ0-9{_MARKS}]")
 
 
-def _simple_runs(word: str) -> str | None:
-    """Runs of a simple word parted by word ends; none of other words."""
-    if word.isascii() and word.isalpha():
-        return word
-    return WORD_END.join(_SIMPLE.findall(word)) if _ALL_SIMPLE.fullmatch(word) else None
+def _simple_runs(words: list[str]) -> list[str | None]:
+    """Runs of simple words parted by word ends; none for other words. Words hold no line ends and are not empty."""
+    out: list[str | None] = [w if w.isascii() and w.isalpha() else None for w in words]
+    mixed = [i for i, w in enumerate(out) if w is None]
+    mixed = [i for i in mixed if not _NOT_SIMPLE.search(words[i])]
+    if mixed:
+        found = WORD_END.join(_SIMPLE_OR_LINE.findall("\n".join([words[i] for i in mixed])))
+        for i, runs in zip(mixed, found.replace(f"{WORD_END}\n{WORD_END}", "\n").split("\n"), strict=True):
+            out[i] = runs
+    return out
+
 
 _RUNS = re.compile(r"[^\W\d_]+|\d|(?:[^\w\s]|_)+|\s+")
 #: What a text may not hold beside word ends, and how it is written instead, so that different words differ.
