@@ -192,15 +192,20 @@ def item_blocks(benchmark: DataFrame) -> Iterator[tuple[tuple[str, bytes], ...]]
         yield tuple(sorted({(r["item"], bytes(r["text"])) for r in part.select("item", "text").collect()}))
 
 
+ADDED = ("n_words", "spans", "items", "scan_text")
+
+
 def passages(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """Add ``n_words``, ``spans`` (word spans [begin, end) inside occurring windows) and ``items`` to each row."""
+    """Add ``n_words``, ``spans`` (word spans [begin, end) inside occurring windows) and ``items`` to each row.
+
+    Columns of these names are replaced.
+    """
     return _passages(documents, benchmark, window)
 
 
 def _passages(documents: DataFrame, benchmark: DataFrame, window: int, finish: Callable | None = None) -> DataFrame:
     """``finish`` takes and gives batches in the columns of ``documents`` and runs with the last block's scan."""
-    if clash := {"n_words", "spans", "items", "scan_text"} & set(documents.columns):
-        raise ValueError(f"rename the columns {sorted(clash)} first")
+    documents = documents.drop(*ADDED)
     now = documents.withColumn("scan_text", text_bytes())
     blocks = item_blocks(benchmark)
     block, again = next(blocks), False
@@ -281,6 +286,8 @@ def remove_passages(
     A document whose words lie in passages by more than ``coverage`` goes; from the others, every
     passage of more than ``longest`` words is cut out, and ``n_chars``, if there, is counted anew.
     """
+    private = {c: f"of documents: {c}" for c in documents.columns if c.lower() in ADDED}
+    documents = documents.withColumnsRenamed(private)
     names = documents.columns
 
     def clean(batch: pa.RecordBatch, counts: list[int], spans: list[list[list[int]]]) -> pa.RecordBatch:
@@ -296,7 +303,7 @@ def remove_passages(
     if "n_chars" in names:
         changed = F.length("text").cast(documents.schema["n_chars"].dataType)
         clean_rows = clean_rows.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(changed))
-    return clean_rows
+    return clean_rows.withColumnsRenamed({p: c for c, p in private.items()})
 
 
 def digest_columns(found: DataFrame) -> DataFrame:

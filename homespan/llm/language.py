@@ -211,9 +211,8 @@ def predict_text_batch(net: ByteConvNet, tables: dict, texts: list[bytes | None]
 
 
 def identify(documents: DataFrame, net: ByteConvNet | None, column: str = "text") -> DataFrame:
-    """Add ``lang_pred`` and ``lang_score`` to every row."""
-    if clash := {"lang_pred", "lang_score"} & set(documents.columns):
-        raise ValueError(f"rename the columns {sorted(clash)} first")
+    """Add ``lang_pred`` and ``lang_score`` to every row; columns of these names are replaced."""
+    documents = documents.drop("lang_pred", "lang_score")
     if net is None:
         return documents.withColumns({"lang_pred": F.lit(UNKNOWN), "lang_score": F.lit(0.0)})
     sent = documents.sparkSession.sparkContext.broadcast(net)

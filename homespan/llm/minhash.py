@@ -122,6 +122,14 @@ def _prefix_postings(classes: DataFrame) -> DataFrame:
     return kept.select("node", F.explode(F.transform(prefix, lambda k: k["key"])).alias("key"))
 
 
+def _ids_of_several_texts(features: DataFrame) -> DataFrame:
+    """(doc_id, class) of the ids that stand for texts of several classes, empty texts being one class."""
+    mark = F.xxhash64("set_a", "set_b", "n_shingles")
+    marks = features.filter("doc_id is not null").groupBy("doc_id").agg(F.min(mark).alias("low"), F.max(mark).alias("high"))
+    several = marks.filter("low <> high").select("doc_id")
+    return features.join(several, "doc_id").select("doc_id", "set_a", "set_b", "n_shingles").distinct()
+
+
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -188,16 +196,19 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     )
     tasks = tasks.repartition("near", "i", "j").sortWithinPartitions("near", "i", "j")
     links = tasks.mapInArrow(lambda b: _links(b, shingle, percent), "a long, b long")
-    joined = components(links)
-    parts = joined.select(F.col("node"), F.col("component"))
+    several = stored(_ids_of_several_texts(features))
+    same_id = several.join(classes, ["set_a", "set_b", "n_shingles"]).select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
+    parts = components(links.unionByName(same_id))
     named = classes.join(parts, "node", "left").select(
         F.col("set_a").alias("class_a"),
         F.col("set_b").alias("class_b"),
         F.coalesce("component", "node").alias("linked"),
     )
     same = (F.col("set_a") == F.col("class_a")) & (F.col("set_b") == F.col("class_b")) & (F.col("n_shingles") > 0)
-    out = features.drop("signature").join(named, same, "left")
-    component = F.coalesce("linked", "doc_id")
+    by_id = several.select("doc_id").distinct().join(parts, F.col("doc_id") == F.col("node"))
+    by_id = by_id.select(F.col("doc_id").alias("own_id"), F.col("component").alias("by_id"))
+    out = features.drop("signature").join(named, same, "left").join(by_id, F.col("doc_id") == F.col("own_id"), "left")
+    component = F.coalesce("linked", "by_id", "doc_id")
     return out.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )

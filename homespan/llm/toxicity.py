@@ -213,10 +213,9 @@ def fit_chain(documents: DataFrame, labels: DataFrame, categories: Sequence[tupl
 
 
 def score_toxicity(documents: DataFrame, chain: Chain, column: str = "text") -> DataFrame:
-    """Add ``p_<category>`` for every category of the chain to every row."""
+    """Add ``p_<category>`` for every category of the chain to every row; columns of these names are replaced."""
     names = [f"p_{n}" for n in chain.names]
-    if clash := set(names) & set(documents.columns):
-        raise ValueError(f"rename the columns {sorted(clash)} first")
+    documents = documents.drop(*names)
     sent = documents.sparkSession.sparkContext.broadcast(chain)
 
     def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -20,6 +20,7 @@ import hashlib
 import html as entities
 import re
 import uuid
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -43,17 +44,100 @@ RECORD = pa.schema(
 #: Headers of a response that describe its capture and go over to what is derived from it.
 CARRIED = ("WARC-Date", "WARC-IP-Address", "WARC-Warcinfo-ID", "WARC-Identified-Payload-Type")
 
-_COMMENT = re.compile(r"<!--.*?-->", re.S)
-_UNSEEN = re.compile(r"<(script|style|noscript|template|head)\b.*?</\1\s*>", re.S | re.I)
+_UNSEEN = re.compile(r"<(script|style|noscript|template|head)\b", re.I)
+_CLOSING = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "noscript", "template", "head", "title")}
 _BREAK = re.compile(
-    r"<(?:br|/?(?:p|div|li|ul|ol|h[1-6]|tr|table|section|article|nav|footer|header|blockquote|pre|title))\b[^>]*>", re.I
+    r"<(?:br|/?(?:p|div|li|ul|ol|h[1-6]|tr|table|section|article|nav|footer|header|blockquote|pre|title))\b", re.I
 )
-_TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
+_TAG = re.compile(r"<[!/?a-zA-Z]")
 _SPACES = re.compile(r"[ \t\f\v ]+")
 _LINES = re.compile(r" ?(?:\r\n|\r|\n) ?(?:\s*\n)?")
-_TITLE = re.compile(r"<title[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LANGUAGE = re.compile(r"<html[^>]*\blang\s*=\s*[\"']?([\w-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_TITLE = re.compile(r"<title", re.I)
+_HTML = re.compile(r"<html", re.I)
+_LANG = re.compile(r"\blang\s*=", re.I)
+_LANGUAGE = re.compile(r"\s*[\"']?([\w-]+)")
+_ANCHOR = re.compile(r"<a\b", re.I)
+_HREF = re.compile(r"\bhref\s*=\s*", re.I)
+_TARGET = re.compile(r"\"([^\"]*)\"|'([^']*)'|([^\s>]+)")
+
+
+# Pages may hold any number of tags that never close. Everything below goes forward: what was looked for in vain is not
+# looked for again, and what was found is jumped over, so time follows the length of the page.
+
+
+def without_spans(page: str, spans: Iterable[tuple[int, int]], instead: str = "") -> str:
+    """The page with some spans, in order, replaced."""
+    out, at = [], 0
+    for begin, end in spans:
+        out += (page[at:begin], instead)
+        at = end
+    return "".join([*out, page[at:]])
+
+
+def comments(page: str) -> Iterator[tuple[int, int]]:
+    at = page.find("<!--")
+    while at >= 0 and (end := page.find("-->", at + 4)) >= 0:
+        yield at, end + 3
+        at = page.find("<!--", end + 3)
+
+
+def unseen(page: str) -> Iterator[tuple[int, int]]:
+    """Elements whose content is not shown, up to the first closing tag of their name."""
+    never, at = set(), 0
+    while opening := _UNSEEN.search(page, at):
+        name, at = opening[1].lower(), opening.end()
+        if name not in never:
+            if closing := _CLOSING[name].search(page, at):
+                at = closing.end()
+                yield opening.start(), at
+            else:
+                never.add(name)
+
+
+def tags(page: str, opening: re.Pattern) -> Iterator[tuple[int, int]]:
+    """Tags that begin like the pattern, up to the next ``>``."""
+    at = 0
+    while (begin := opening.search(page, at)) and (end := page.find(">", begin.end())) >= 0:
+        at = end + 1
+        yield begin.start(), at
+
+
+def title_of(page: str) -> str | None:
+    if (begin := _TITLE.search(page)) and (end := page.find(">", begin.end())) >= 0:
+        if closing := _CLOSING["title"].search(page, end + 1):
+            return page[end + 1 : closing.start()]
+    return None
+
+
+def language_of(page: str) -> str | None:
+    """The last language named in the first ``html`` tag that names one."""
+    at = 0
+    while begin := _HTML.search(page, at):
+        end = page.find(">", begin.end())
+        inner = page[begin.end() : end if end >= 0 else len(page)]
+        for named in reversed(list(_LANG.finditer(inner))):
+            if told := _LANGUAGE.match(inner, named.end()):
+                return told[1]
+        if end < 0:
+            return None
+        at = end
+    return None
+
+
+def targets(page: str) -> Iterator[str]:
+    """What the anchors of the page refer to, each by its first ``href``."""
+    refers = [(m.start(), m.end()) for m in _HREF.finditer(page)]
+    starts = [begin for begin, _ in refers]
+    at = 0
+    while begin := _ANCHOR.search(page, at):
+        end = page.find(">", begin.end())
+        end = len(page) if end < 0 else end
+        at = end
+        for place in range(bisect_left(starts, begin.end()), bisect_left(starts, end)):
+            if told := _TARGET.match(page, refers[place][1]):
+                yield next(t for t in told.groups() if t is not None)
+                at = told.end()
+                break
 
 
 def digest(data: bytes) -> str:
@@ -65,13 +149,16 @@ def record_id(*names: object) -> str:
 
 
 def one_line(text: str) -> str:
-    return " ".join(entities.unescape(_TAG.sub("", text)).split())
+    return " ".join(entities.unescape(without_spans(text, tags(text, _TAG))).split())
 
 
 def plain_text(page: str) -> str:
     """Visible text; block elements and breaks end a line."""
-    page = _UNSEEN.sub("", _COMMENT.sub("", page))
-    page = _TAG.sub("", _BREAK.sub("\n", page.replace("\r\n", " ").replace("\r", " ").replace("\n", " ")))
+    page = without_spans(page, comments(page))
+    page = without_spans(page, unseen(page))
+    page = page.replace("\r\n", " ").replace("\r", " ").replace("\n", " ")
+    page = without_spans(page, tags(page, _BREAK), "\n")
+    page = without_spans(page, tags(page, _TAG))
     return _LINES.sub("\n", _SPACES.sub(" ", entities.unescape(page))).strip()
 
 
@@ -133,12 +220,12 @@ def derived(source: tuple) -> list[tuple]:
     common = [(k, carried[k]) for k in CARRIED if k in carried]
     common += [("WARC-Refers-To-Target-URI", target), ("WARC-Refers-To-Date", carried.get("WARC-Date"))]
     found = [("http-status", status), *((f"http-header-{k.lower()}", v) for k, v in http)]
-    if match := _LANGUAGE.search(page):
-        found.append(("language", match[1].lower()))
-    if match := _TITLE.search(page):
-        found.append(("title", one_line(match[1])))
+    if (told := language_of(page)) is not None:
+        found.append(("language", told.lower()))
+    if (title := title_of(page)) is not None:
+        found.append(("title", one_line(title)))
     found.append(("source-payload-digest", payload))
-    links = (entities.unescape(next(filter(None, m), "")) for m in _LINK.findall(page))
+    links = map(entities.unescape, targets(page))
     found += [("outlink", f"{one_line_header(link)} L a/@href") for link in links if link]
     about = record_id("metadata", ident)
     fields = CRLF.join(f"{k}: {one_line_header(v)}" for k, v in found) + CRLF

@@ -163,8 +163,9 @@ def test_language_of_odd_texts(spark):
     assert all(0 <= r["lang_score"] <= 1 for r in got) and got[0]["extra"] == "x"
     assert language.fit_languages(table) is None
     assert {r["lang_pred"] for r in language.identify(table, None).collect()} == {"und"}
-    with pytest.raises(ValueError):
-        language.identify(table.withColumn("lang_pred", F.lit(1)), net)
+    again = language.identify(table.withColumn("lang_pred", F.lit(1)), net)
+    assert again.columns == language.identify(table, net).columns
+    assert again.filter("lang_pred = 'de'").count() == 1
 
 
 def test_top_k_with_ties_and_odd_vectors(spark, monkeypatch):
