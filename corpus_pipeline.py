@@ -37,6 +37,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 OTHER_TEXTS = 1 << 62
+FEW_IDS = 500_000
 
 
 def _text_ids(docs: DataFrame) -> DataFrame:
@@ -44,7 +45,11 @@ def _text_ids(docs: DataFrame) -> DataFrame:
     mark = F.xxhash64("text")
     several = docs.groupBy("doc_id").agg(F.min(mark).alias("first text"), F.max(mark).alias("last text"))
     several = several.filter("`first text` <> `last text` and doc_id is not null").select(F.col("doc_id").alias("told id"), "first text")
-    joined = docs.join(several, F.col("doc_id") == F.col("told id"), "left")
+    several = stored(several)
+    if (ids := several.count()) == 0:
+        joined = docs.withColumn("first text", F.lit(None).cast("long"))
+    else:  # texts need not be shuffled for few such ids
+        joined = docs.join(F.broadcast(several) if ids <= FEW_IDS else several, F.col("doc_id") == F.col("told id"), "left")
     other = F.lit(OTHER_TEXTS) + F.pmod(F.xxhash64("doc_id", "text"), F.lit(OTHER_TEXTS - 1))
     of_another = F.col("first text").isNotNull() & (mark != F.col("first text"))
     own = F.when(F.col("doc_id").isNull() | of_another, other).otherwise(F.col("doc_id").cast("long"))
