@@ -47,9 +47,9 @@ CARRIED = ("WARC-Date", "WARC-IP-Address", "WARC-Warcinfo-ID", "WARC-Identified-
 _UNSEEN = re.compile(r"<(script|style|noscript|template|head)\b", re.I)
 _CLOSING = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "noscript", "template", "head", "title")}
 _BREAK = re.compile(
-    r"<(?:br|/?(?:p|div|li|ul|ol|h[1-6]|tr|table|section|article|nav|footer|header|blockquote|pre|title))\b", re.I
+    r"<(?:br|/?(?:p|div|li|ul|ol|h[1-6]|tr|table|section|article|nav|footer|header|blockquote|pre|title))\b[^>]*>", re.I
 )
-_TAG = re.compile(r"<[!/?a-zA-Z]")
+_TAG = re.compile(r"<[!/?a-zA-Z][^>]*>")
 _SPACES = re.compile(r"[ \t\f\v ]+")
 _LINES = re.compile(r" ?(?:\r\n|\r|\n) ?(?:\s*\n)?")
 _TITLE = re.compile(r"<title", re.I)
@@ -65,11 +65,11 @@ _TARGET = re.compile(r"\"([^\"]*)\"|'([^']*)'|([^\s>]+)")
 # looked for again, and what was found is jumped over, so time follows the length of the page.
 
 
-def without_spans(page: str, spans: Iterable[tuple[int, int]], instead: str = "") -> str:
-    """The page with some spans, in order, replaced."""
+def without_spans(page: str, spans: Iterable[tuple[int, int]]) -> str:
+    """The page without some spans, in order."""
     out, at = [], 0
     for begin, end in spans:
-        out += (page[at:begin], instead)
+        out.append(page[at:begin])
         at = end
     return "".join([*out, page[at:]])
 
@@ -94,12 +94,10 @@ def unseen(page: str) -> Iterator[tuple[int, int]]:
                 never.add(name)
 
 
-def tags(page: str, opening: re.Pattern) -> Iterator[tuple[int, int]]:
-    """Tags that begin like the pattern, up to the next ``>``."""
-    at = 0
-    while (begin := opening.search(page, at)) and (end := page.find(">", begin.end())) >= 0:
-        at = end + 1
-        yield begin.start(), at
+def without_tags(page: str, tag: re.Pattern, instead: str = "") -> str:
+    """The page with its tags replaced; behind the last ``>`` no tag ends, and before it every one does."""
+    end = page.rfind(">") + 1
+    return tag.sub(instead, page[:end]) + page[end:]
 
 
 def title_of(page: str) -> str | None:
@@ -149,7 +147,7 @@ def record_id(*names: object) -> str:
 
 
 def one_line(text: str) -> str:
-    return " ".join(entities.unescape(without_spans(text, tags(text, _TAG))).split())
+    return " ".join(entities.unescape(without_tags(text, _TAG)).split())
 
 
 def plain_text(page: str) -> str:
@@ -157,8 +155,7 @@ def plain_text(page: str) -> str:
     page = without_spans(page, comments(page))
     page = without_spans(page, unseen(page))
     page = page.replace("\r\n", " ").replace("\r", " ").replace("\n", " ")
-    page = without_spans(page, tags(page, _BREAK), "\n")
-    page = without_spans(page, tags(page, _TAG))
+    page = without_tags(without_tags(page, _BREAK, "\n"), _TAG)
     return _LINES.sub("\n", _SPACES.sub(" ", entities.unescape(page))).strip()
 
 
