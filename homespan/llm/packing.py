@@ -2,7 +2,7 @@
 
 Method. Documents are dealt by their strongest terms into shards of about ``SHARD_BYTES`` of text. Each shard has a BM25
 inverted index over subword ids. A window of ``length`` ids starts with a seed document (or the rest of the
-document that ran over the last window); its strongest terms retrieve unused neighbours, which fill the
+document that ran over the last window); all its terms together retrieve unused neighbours, which fill the
 window greedily in order of score; when none is left, the next unused document does. A document that runs
 over the end is cut, and its rest opens the next window. So every sequence is full but for the end of a
 shard, which is cut into sequences of powers of two, which need no padding.
@@ -13,7 +13,7 @@ by the second term, then by the third, and what is still too large by a hash of
 shards. Related documents that agree in no strongest term may still lie in different shards: a seed's neighbours are
 those of its shard.
 
-Scale. Texts are cut into ids once, which are kept in the checkpoint folder. Counts of terms are no more than the vocabulary,
+Scale. Texts are cut into ids once, which are kept in the checkpoint folder beside the counts of their terms. Counts of terms are no more than the vocabulary,
 buckets no more than the vocabulary and ``BINS`` for each shard and level. One shuffle of the ids by shard; a shard is
 indexed and packed in one task and then dropped, so memory follows the shard (or one longer document). Shards depend on
 the content alone, so a task that is run again gives the same rows.
@@ -25,6 +25,7 @@ came in. Null ids are kept. An empty table gives no rows. Columns other than id
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ from homespan.llm.subwords import subwords
 
 LENGTH = 2048
 SHARD_BYTES = 2_000_000
-QUERY_TERMS = 24
+FREQUENT = 16
 BINS = 16
 CHUNK_BYTES = 1_000_000
 K1, B = 1.2, 0.75
@@ -67,7 +68,10 @@ def distinct_terms(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray,
 
 
 class Bm25:
-    """Inverted index over the documents of a shard: postings by term with their BM25 weights."""
+    """Inverted index over the documents of a shard: postings by term with their BM25 weights, of documents not used yet.
+
+    Postings of terms in one document of ``FREQUENT`` or more are vectors over the documents, those of other terms are lists.
+    """
 
     def __init__(self, documents: list[np.ndarray]):
         n = len(documents)
@@ -76,25 +80,41 @@ class Bm25:
         held = np.bincount(self.terms, minlength=1)
         rarity = np.log1p((n - held + 0.5) / (held + 0.5))
         norm = K1 * (1 - B + B * lengths / max(1.0, lengths.mean()))
-        self.weights = rarity[self.terms] * times * (K1 + 1) / (times + norm[owner])
-        order = np.argsort(self.terms, kind="stable")
-        self.owner, self.posted = owner[order], self.weights[order]
-        self.begins = np.concatenate([[0], np.cumsum(held)])
-        self.n = n
+        weights = rarity[self.terms] * times * (K1 + 1) / (times + norm[owner])
+        frequent = np.flatnonzero(held * FREQUENT >= max(2, n))
+        self.row = np.full(len(held), -1)
+        self.row[frequent] = np.arange(len(frequent))
+        self.vectors, self.columns = np.zeros((len(frequent), n), np.float32), np.arange(n)
+        dense = self.row[self.terms] >= 0
+        self.vectors[self.row[self.terms[dense]], owner[dense]] = weights[dense]
+        order = np.argsort(self.terms.astype(np.uint32), kind="stable")
+        order = order[~dense[order] & (held[self.terms[order]] > 1)]  # a term of one document leads to no neighbour
+        self.n, self.size, self.last = n, len(held), n
+        self._post(self.terms[order], owner[order].astype(np.int32), weights[order])
+
+    def _post(self, posted: np.ndarray, owner: np.ndarray, weights: np.ndarray) -> None:
+        self.posted, self.owner, self.weights = posted, owner, weights
+        self.begins = np.concatenate([[0], np.cumsum(np.bincount(posted, minlength=self.size))])
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share strong terms with the seed, best first."""
-        own = slice(self.bounds[seed], self.bounds[seed + 1])
-        terms, weights = self.terms[own], self.weights[own]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(-weights, QUERY_TERMS)[:QUERY_TERMS]]
-        if not len(terms):
-            return np.zeros(0, np.int64)
-        spans = [slice(self.begins[t], self.begins[t + 1]) for t in terms]
-        docs = np.concatenate([self.owner[s] for s in spans])
-        scores = np.bincount(docs, np.concatenate([self.posted[s] for s in spans]), self.n)
-        scores[~unused] = 0
-        near = np.flatnonzero(scores > 0)
+        """Unused documents that share terms with the seed, best first; every term of the seed counts."""
+        left = np.count_nonzero(unused)
+        if 2 * left < self.last:
+            kept, self.last = unused[self.owner], left
+            self._post(self.posted[kept], self.owner[kept], self.weights[kept])
+            live = unused[self.columns]
+            self.vectors, self.columns = self.vectors[:, live], self.columns[live]
+        terms = self.terms[self.bounds[seed] : self.bounds[seed + 1]]
+        rows = self.row[terms]
+        scores = np.zeros(self.n)
+        scores[self.columns] = self.vectors[rows[rows >= 0]].sum(axis=0)
+        begins, ends = self.begins[terms], self.begins[terms + 1]
+        some = begins < ends
+        spans = [slice(b, e) for b, e in zip(begins[some].tolist(), ends[some].tolist(), strict=True)]
+        if spans:
+            docs, weights = (np.concatenate([a[s] for s in spans]) for a in (self.owner, self.weights))
+            scores += np.bincount(docs, weights, self.n)
+        near = np.flatnonzero((scores > 0) & unused)
         return near[np.argsort(-scores[near], kind="stable")]
 
 
@@ -160,20 +180,28 @@ PATH = ("by_first", "by_second", "by_third", "by_mark")
 
 
 def _coded(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Ids of each text, and the bytes it counts for."""
+    """Ids of each text, and the bytes it counts for; at last a row with the counts of the task."""
     coder = subwords(path)
+    schema = pa.schema([*CODED, ("held", pa.binary())])
+    held, documents, n_ids = np.zeros(coder.size, np.int64), 0, 0
     for batch in batches:
         texts = batch.column("text").to_pylist()
         for part in in_chunks(map(len, texts), CHUNK_BYTES):
             told = texts[part]
             ids, bounds = coder.encode(told)
             ids = ids.astype(id_type(coder.size))
+            held += np.bincount(distinct_terms([ids[a:b] for a, b in pairwise(bounds)])[1], minlength=coder.size)
+            documents, n_ids = documents + len(told), n_ids + len(ids)
             rows = batch.slice(part.start, len(told))
             columns = {
                 "doc_id": rows.column("doc_id"), "mark": rows.column("mark"), "size": [len(t) + 1 for t in told],
-                "ids": [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)],
+                "ids": [ids[a:b].tobytes() for a, b in pairwise(bounds)], "held": [None] * len(told),
             }
-            yield emit(columns, CODED)
+            yield emit(columns, schema)
+    if documents:
+        terms = np.flatnonzero(held)
+        counts = np.stack([np.append(terms, [DOCUMENTS, IDS]), np.append(held[terms], [documents, n_ids])])
+        yield emit({**{n: [None] for n in CODED.names}, "held": [counts.astype("<i8").tobytes()]}, schema)
 
 
 def id_type(size: int) -> str:
@@ -188,25 +216,22 @@ def _id_parts(batches: Iterable[pa.RecordBatch], kind: str) -> Iterator[list[np.
             yield [np.frombuffer(r, kind) for r in raw[part]]
 
 
-def _terms_held(batches: Iterable[pa.RecordBatch], kind: str, size: int) -> Iterator[pa.RecordBatch]:
-    """In how many documents each term is, and the numbers of documents and ids."""
-    held, documents, ids = np.zeros(size, np.int64), 0, 0
-    for texts in _id_parts(batches, kind):
-        held += np.bincount(distinct_terms(texts)[1], minlength=size)
-        documents, ids = documents + len(texts), ids + sum(map(len, texts))
-    terms = np.flatnonzero(held)
-    columns = {"term": np.append(terms, [DOCUMENTS, IDS]), "n": np.append(held[terms], [documents, ids])}
-    yield emit(columns, TERMS)
+def _terms_held(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many documents of a task each term is, and the numbers of documents and ids."""
+    for batch in batches:
+        for raw in batch.column("held").to_pylist():
+            terms, n = np.frombuffer(raw, "<i8").reshape(2, -1)
+            yield emit({"term": terms, "n": n}, TERMS)
 
 
-def term_rarity(coded: DataFrame, kind: str, size: int) -> tuple[np.ndarray, float]:
+def term_rarity(held: DataFrame, size: int) -> tuple[np.ndarray, float]:
     """Rarity of every term over all documents, zero for those in one document alone, and the mean number of ids."""
-    counts = coded.select("ids").mapInArrow(lambda b: _terms_held(b, kind, size), "term int, n long")
+    counts = held.select("held").mapInArrow(_terms_held, "term int, n long")
     n = dict(tuple(r) for r in counts.groupBy("term").agg(F.sum("n")).collect())
     documents, ids = n.pop(DOCUMENTS, 0), n.pop(IDS, 0)
     rarity = np.zeros(size)
-    terms, held = np.fromiter(n.keys(), np.int64), np.fromiter(n.values(), float)
-    rarity[terms] = np.where(held > 1, np.log1p((documents - held + 0.5) / (held + 0.5)), 0)
+    terms, of_each = np.fromiter(n.keys(), np.int64), np.fromiter(n.values(), float)
+    rarity[terms] = np.where(of_each > 1, np.log1p((documents - of_each + 0.5) / (of_each + 0.5)), 0)
     return rarity, max(1.0, ids / max(1, documents))
 
 
@@ -290,8 +315,9 @@ def pack(documents: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int
     rows = documents.select(
         F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text", place).alias("mark"), text_bytes().alias("text")
     )
-    coded = stored(rows.mapInArrow(lambda b: _coded(b, tokenizer), CODED_SQL))
-    dealt = deal(with_strongest_terms(coded, kind, *term_rarity(coded, kind, size)))
+    found = stored(rows.mapInArrow(lambda b: _coded(b, tokenizer), f"{CODED_SQL}, held binary"))
+    coded = found.filter("held is null").drop("held")
+    dealt = deal(with_strongest_terms(coded, kind, *term_rarity(found.filter("held is not null"), size)))
     placed = dealt.repartition("shard").sortWithinPartitions("shard", "doc_id", "mark").select("shard", "doc_id", "ids")
     return placed.mapInArrow(lambda b: _packed(b, kind, length, end_id), PIECES_SQL)
 

@@ -53,6 +53,35 @@ def test_neighbours_share_words():
     assert packing.packing_order(texts, 64)[:2] == [0, 2]
 
 
+def plain_bm25(texts, seed):
+    """Scores of all texts against all terms of one, term by term."""
+    n, mean = len(texts), sum(map(len, texts)) / len(texts)
+    scores = [0.0] * n
+    for term in set(texts[seed]):
+        held = sum(term in t for t in texts)
+        for i, t in enumerate(texts):
+            if times := t.count(term):
+                norm = packing.K1 * (1 - packing.B + packing.B * len(t) / mean)
+                scores[i] += np.log1p((n - held + 0.5) / (held + 0.5)) * times * (packing.K1 + 1) / (times + norm)
+    return scores
+
+
+@pytest.mark.parametrize("frequent", [1, 4, 10**6])
+def test_neighbours_by_all_terms(monkeypatch, frequent):
+    monkeypatch.setattr(packing, "FREQUENT", frequent)
+    draw = np.random.default_rng(3)
+    texts = [(draw.zipf(1.3, draw.integers(0, 80)) % 300).tolist() for _ in range(60)] + [[7, 7, 8]] * 3
+    index = packing.Bm25([np.array(t, np.uint16) for t in texts])
+    unused = np.ones(len(texts), bool)
+    for seed in draw.permutation(len(texts))[:50]:
+        unused[seed] = False
+        scores = np.array(plain_bm25(texts, seed))
+        shared = np.array([bool(set(t) & set(texts[seed])) for t in texts])
+        found = index.neighbours(seed, unused)
+        assert sorted(found) == list(np.flatnonzero(shared & unused))
+        assert np.all(np.diff(scores[found]) < 1e-4)
+
+
 def test_related_documents_meet_in_a_shard(spark, monkeypatch):
     monkeypatch.setattr(packing, "SHARD_BYTES", 4_000)
     draw = np.random.default_rng(2)
