@@ -207,7 +207,7 @@ def top_cities_min_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def deal_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = gold_year(spark, sf_dir, S.current_year)
-    return reports.best_deals(gold, S.home_type, S.current_year, S.deal_floor, SHORT)
+    return reports.best_deals(gold, S.home_type, S.current_year, S.deal_floor)
 
 
 def appreciation(spark: SparkSession, sf_dir: str) -> DataFrame:
