@@ -237,7 +237,7 @@ def unemployment_year(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def investment_score(
-    spark: SparkSession, sf_dir: str, min_sold: int = S.score_floor, price_cap: float = S.price_cap, n: int = SHORT
+    spark: SparkSession, sf_dir: str, min_sold: int = S.score_floor, price_cap: float = S.price_cap, n: int = 20
 ) -> DataFrame:
     scored = reports.investment_score(
         gold_pair(spark, sf_dir),
