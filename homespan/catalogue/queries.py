@@ -51,7 +51,6 @@ SETTINGS = MarketSettings(
 )
 SEARCH_WORD = "nation_1"
 S = SETTINGS
-SHORT = 3
 METRO_PLACE = ("CITY", "PARENT_METRO_REGION")
 
 
@@ -267,7 +266,6 @@ def _ultimate(spark: SparkSession, sf_dir: str, integer_volume_ratio: bool) -> D
         S.score_floor,
         S.focus_cities,
         integer_volume_ratio,
-        SHORT,
         exact_scale=S.exact_scale,
         metro=S.labour_metro,
     )
