@@ -22,7 +22,7 @@ def market(spark, monkeypatch):
     monkeypatch.setattr(q.star, "labour_rates", lambda *_: rates)
 
 
-NAMES = ["deal_score", "investment_score", "ultimate_score"]
+NAMES = ["deal_score", "investment_score", "ultimate_score", "ultimate_score_intdiv"]
 
 
 @pytest.mark.parametrize("name", NAMES)
