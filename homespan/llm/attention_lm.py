@@ -17,10 +17,11 @@ Reading. Texts are cut into words and ids once and kept as 16-bit ids and a byte
 fitting and scoring read those. Words are told apart by 64-bit hashes of their ids, which differ for different words.
 
 Learning. Counts of words, ids and id pairs cover all training documents (one shuffle of partial counts). The attention
-weights are fitted by numpy with Adam on windows drawn by hash from all training documents: ``FIT_WINDOWS`` of them (all, if
-there are fewer) and the share ``FIT_SHARE`` of all windows on top, so the sample grows with the corpus. It is dealt into
-shards of about ``SHARD_WINDOWS``; in each of ``ROUNDS`` rounds every shard goes on from the same weights over its windows in
-its own task, and the new weights are averaged, in ``GROUPS`` groups first, so the driver adds up no more than these.
+weights are fitted by numpy with Adam on all windows of all training documents. Texts are cut into blocks of windows, which
+are dealt by hash into shards of about ``SHARD_WINDOWS`` and into ``ROUNDS`` rounds; in each round every shard goes on from the
+same weights over its windows of that round in its own task, and the new weights are averaged, in ``GROUPS`` groups first, so
+the driver adds up no more than these. So each window is learnt from once, and again where a round has fewer than
+``ROUND_STEPS`` batches. Windows of repeated rows are held once and weigh as often as they came in.
 
 Base score. Words and their counts are exact over all training documents. The ``HEAD_WORDS`` most frequent words are sent to
 all tasks; every other word of a text is joined with its count.
@@ -48,11 +49,10 @@ CLASSES = 64
 WIDTH = 16
 CONTEXT = 32
 OVERLAP = 8
-FIT_WINDOWS = 36_000
-FIT_SHARE = 1 / 256
-SHARD_WINDOWS = 12_000
+BLOCK_WINDOWS = 64
+SHARD_WINDOWS = 131_072
 ROUNDS = 4
-ROUND_STEPS = 64
+ROUND_STEPS = 128
 TRAIN_BATCH = 128
 GROUPS = 16
 HEAD_WORDS = 1 << 18
@@ -385,23 +385,32 @@ class AttentionModel:
         out -= np.log(np.exp(z, out=z).sum(axis=1))
         return out.reshape(last.shape) + self.log_inside[last, next_place] + self.log_rare[told]
 
-    def fit(self, ids: np.ndarray, valid: np.ndarray, told: np.ndarray, rate: float = 0.01, seed: int = 9) -> None:
-        """Whole passes over the windows, ROUND_STEPS steps at least."""
-        batch = TRAIN_BATCH
+    def fit(
+        self, ids: np.ndarray, valid: np.ndarray, told: np.ndarray, times: np.ndarray, rate: float = 0.01, seed: int = 9
+    ) -> None:
+        """A whole pass over the windows, and on through them up to ROUND_STEPS steps; ``times`` is the weight of each."""
         draw = np.random.default_rng(seed)
         moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in self.weights.items()}
-        step = 0
-        while len(ids) and step < ROUND_STEPS:
-            order = draw.permutation(len(ids))
-            for b in range(0, len(ids), batch):
-                step += 1
-                pick = order[b : b + batch]
-                for name, grad in self._gradients(ids[pick], valid[pick], told[pick]).items():
-                    first, second = moments[name]
-                    first += 0.1 * (grad - first)
-                    second += 0.01 * (grad * grad - second)
-                    scale = rate * np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
-                    self.weights[name] -= (scale * first / (np.sqrt(second) + 1e-7)).astype(np.float32)
+        aims = self.class_of[self.place[told]]
+        begins = range(0, len(ids), TRAIN_BATCH)
+        for step in range(max(ROUND_STEPS, len(begins)) if len(ids) else 0):
+            if step % len(begins) == 0:
+                order = draw.permutation(len(ids))
+            b = begins[step % len(begins)]
+            pick = order[b : b + TRAIN_BATCH]
+            scale = rate * np.sqrt(1 - 0.99 ** (step + 1)) / (1 - 0.9 ** (step + 1))
+            for name, grad in self._gradients(ids[pick], valid[pick], aims[pick], times[pick]).items():
+                first, second = moments[name]
+                first *= np.float32(0.9)
+                first += np.float32(0.1) * grad
+                grad *= grad
+                second *= np.float32(0.99)
+                second += np.float32(0.01) * grad
+                root = np.sqrt(second, out=grad)
+                root += np.float32(1e-7)
+                np.divide(first, root, out=root)
+                root *= np.float32(scale)
+                self.weights[name] -= root
 
     def flat(self) -> np.ndarray:
         """All weights one after the other."""
@@ -416,43 +425,61 @@ class AttentionModel:
         model.log_inside = model.log_rare = None
         return model
 
-    def _gradients(self, ids: np.ndarray, valid: np.ndarray, told: np.ndarray) -> dict[str, np.ndarray]:
+    def _gradients(
+        self, ids: np.ndarray, valid: np.ndarray, aims: np.ndarray, times: np.ndarray
+    ) -> dict[str, np.ndarray]:
+        """Of the mean loss over the valid scored places; ``aims`` holds the classes to predict there."""
         w = self.weights
+        last = ids[:, OVERLAP:]
         mixed, share, q, k, v = self.attend(ids, valid)
-        live = valid[:, OVERLAP:]
-        top = np.exp(_log_softmax(mixed @ w["read"] + self.log_class[ids[:, OVERLAP:]]))
-        np.put_along_axis(
-            top, self.class_of[self.place[told]][:, :, None],
-            np.take_along_axis(top, self.class_of[self.place[told]][:, :, None], 2) - 1, 2,
-        )
-        top *= live[:, :, None] / max(1, live.sum())
-        back = top @ w["read"].T
-        to_share = back @ v.transpose(0, 2, 1)
-        to_raw = share * (to_share - (to_share * share).sum(axis=2, keepdims=True))
-        grads = {"read": np.einsum("bqd,bqc->dc", mixed, top), "distance": np.zeros(CONTEXT, np.float32)}
+        flat = mixed.reshape(-1, WIDTH)
+        top = flat @ w["read"]
+        top += self.log_class[last.ravel()]
+        top -= top.max(axis=1, keepdims=True)
+        np.exp(top, out=top)
+        live = valid[:, OVERLAP:] * times[:, None].astype(np.float32)
+        live /= max(1, live.sum())
+        top *= (live.ravel() / top.sum(axis=1))[:, None]
+        top[np.arange(len(top)), aims.ravel()] -= live.ravel()
+        back = (top @ w["read"].T).reshape(mixed.shape)
+        to_raw = back @ v.transpose(0, 2, 1)
+        to_raw -= (back * mixed).sum(axis=2, keepdims=True)
+        to_raw *= share
         gap = np.arange(OVERLAP, CONTEXT)[:, None] - np.arange(CONTEXT)[None]
-        np.add.at(grads["distance"], gap[gap >= 0], to_raw.sum(0)[gap >= 0])
-        scaled = to_raw * WIDTH**-0.5
-        for name, at, change in (
-            ("query", ids[:, OVERLAP:], scaled @ k),
-            ("key", ids, scaled.transpose(0, 2, 1) @ q),
-            ("value", ids, share.transpose(0, 2, 1) @ back),
-        ):
-            grads[name] = np.zeros_like(w[name])
-            np.add.at(grads[name], at.ravel(), change.reshape(-1, WIDTH))
-        return grads
-
-
-def cut_windows(begins: np.ndarray, picked: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        near = np.bincount(gap[gap >= 0], to_raw.sum(axis=0)[gap >= 0], CONTEXT)
+        to_raw *= np.float32(WIDTH**-0.5)
+        size = len(w["query"])
+        back_key = np.concatenate([to_raw.transpose(0, 2, 1) @ q, share.transpose(0, 2, 1) @ back], axis=2)
+        both = _rows_added(ids, back_key, size)
+        return {
+            "query": _rows_added(last, to_raw @ k, size), "key": both[:, :WIDTH], "value": both[:, WIDTH:],
+            "distance": near.astype(np.float32), "read": flat.T @ top,
+        }
+
+
+def _rows_added(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """A table of ``size`` rows with the sums of the rows at each place."""
+    at = at.ravel()
+    order = np.argsort(at, kind="stable")
+    places = at[order]
+    begins = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
+    out = np.zeros((size, rows.shape[-1]), np.float32)
+    out[places[begins]] = np.add.reduceat(rows.reshape(len(at), -1)[order], begins, axis=0)
+    return out
+
+
+def cut_windows(begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places (windows, CONTEXT) in the stream, which are inside their text, and the text of each window."""
+    return _windows(begins, np.zeros(len(begins) - 1, np.int64))
+
+
+def _windows(begins: np.ndarray, leads: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``cut_windows``, of texts or blocks whose first ``leads`` places only give context."""
     stride = CONTEXT - OVERLAP
-    sizes = np.diff(begins)
-    counts = -(-sizes // stride)
-    owner = np.repeat(np.arange(len(sizes)), counts)
+    counts = -(-(np.diff(begins) - leads) // stride)
+    owner = np.repeat(np.arange(len(counts)), counts)
     number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    if picked is not None:
-        owner, number = owner[picked], number[picked]
-    places = (begins[owner] + number * stride)[:, None] + np.arange(-OVERLAP, stride)[None]
+    places = (begins[owner] + leads[owner] + number * stride)[:, None] + np.arange(-OVERLAP, stride)[None]
     valid = (places >= begins[owner][:, None]) & (places < begins[owner + 1][:, None])
     return np.where(valid, places, 0), valid, owner
 
@@ -473,47 +500,66 @@ def score_stream(model: AttentionModel, read: np.ndarray, told: np.ndarray, begi
     return total / np.log(10)
 
 
-WINDOWS = pa.schema(
-    [("shard", pa.int64()), ("key", pa.int64()), ("read", pa.binary()), ("told", pa.binary()), ("valid", pa.binary())]
-)
-WINDOWS_SQL = "shard long, key long, read binary, told binary, valid binary"
+BLOCKS = pa.schema([("shard", pa.int64()), ("key", pa.int64()), ("lead", pa.int64()), ("ids", pa.binary())])
+BLOCKS_SQL = "shard long, key long, lead long, ids binary"
 FITTED = pa.schema([("group", pa.int64()), ("shard", pa.int64()), ("n", pa.int64()), ("weights", pa.binary())])
 FITTED_SQL = "group long, shard long, n long, weights binary"
 
 
-def _drawn(batches: Iterable[pa.RecordBatch], kind: str, end_id: int, share: float, shards: int) -> Iterator[pa.RecordBatch]:
-    """Windows whose hash falls into the share, and the shard of each."""
-    bound = np.uint64(min(share, 1) * (2**64 - 2**12))
-    width = np.dtype(kind).itemsize
+def _blocks(batches: Iterable[pa.RecordBatch], kind: str, end_id: int, shards: int, turn: int) -> Iterator[pa.RecordBatch]:
+    """A round's blocks of up to BLOCK_WINDOWS windows: ids from those that give context to the one after the last."""
+    width, stride = np.dtype(kind).itemsize, BLOCK_WINDOWS * (CONTEXT - OVERLAP)
+    end = np.array([end_id], kind).tobytes()
     for batch in batches:
         marks, texts = batch.column("mark").to_numpy(zero_copy_only=False), batch.column("ids").to_pylist()
         for part in in_chunks(map(len, texts), CHUNK_BYTES):
-            bounds = np.concatenate([[0], np.cumsum([len(t) // width for t in texts[part]])])
-            read, told, begins = sequences(np.frombuffer(b"".join(texts[part]), kind), bounds, end_id)
-            counts = -(-np.diff(begins) // (CONTEXT - OVERLAP))
+            places = np.array([len(t) // width + 1 for t in texts[part]])
+            counts = -(-places // stride)
             number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
             with np.errstate(over="ignore"):
                 keys = mix(np.repeat(marks[part].view(np.uint64), counts) + GOLD * (number.astype(np.uint64) + np.uint64(1)))
-            picked = np.flatnonzero(keys <= bound)
-            places, valid, _ = cut_windows(begins, picked)
+            dealt = mix(keys)
+            now = np.flatnonzero(dealt // np.uint64(shards) % np.uint64(ROUNDS) == turn)
+            begins = number[now] * stride
+            owners = np.repeat(np.arange(len(places)), counts)[now]
+            ends = np.minimum(begins + stride, places[owners]) + 1
+            leads = np.minimum(begins, OVERLAP)
+            # the end id stands before the first id and after the last
+            told = {i: end + texts[part.start + i] + end for i in np.unique(owners).tolist()}
+            spans = zip(owners.tolist(), ((begins - leads) * width).tolist(), (ends * width).tolist(), strict=True)
             columns = {
-                "shard": (mix(keys[picked]) % np.uint64(shards)).astype(np.int64), "key": keys[picked].view(np.int64),
-                "read": [r.tobytes() for r in read[places].astype("<i4")],
-                "told": [r.tobytes() for r in told[places[:, OVERLAP:]].astype("<i4")],
-                "valid": [r.tobytes() for r in valid],
+                "shard": (dealt[now] % np.uint64(shards)).astype(np.int64), "key": keys[now].view(np.int64), "lead": leads,
+                "ids": [told[i][b:e] for i, b, e in spans],
             }
-            yield emit(columns, WINDOWS)
+            yield emit(columns, BLOCKS)
+
+
+def deal_blocks(coded: DataFrame, kind: str, end_id: int, shards: int, turn: int) -> DataFrame:
+    """A round's blocks of all coded texts, each shard in one partition, and how often each block came in."""
+    blocks = coded.select("mark", "ids").mapInArrow(lambda b: _blocks(b, kind, end_id, shards, turn), BLOCKS_SQL)
+    same = ("shard", "key", "lead", "ids")
+    counted = blocks.repartition(shards, "shard").groupBy(*same).agg(F.count("*").alias("times"))
+    return counted.sortWithinPartitions(*same)
+
+
+def block_windows(rows: list[tuple], kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids read, which are inside their text, ids to predict, and the weight of every window of rows (lead, ids, times)."""
+    ids = np.frombuffer(b"".join(r[1] for r in rows), kind)
+    ends = np.cumsum([len(r[1]) for r in rows], dtype=np.int64) // np.dtype(kind).itemsize
+    read, told = np.delete(ids, ends - 1), np.delete(ids, np.append(0, ends[:-1]))
+    begins = np.append(0, ends - np.arange(1, len(rows) + 1))
+    places, valid, owner = _windows(begins, np.array([r[0] for r in rows], np.int64))
+    return read[places], valid, told[places[:, OVERLAP:]], np.array([r[2] for r in rows], np.int64)[owner]
 
 
-def _fitted(batches: Iterable[pa.RecordBatch], model: AttentionModel, turn: int) -> Iterator[pa.RecordBatch]:
+def _fitted(batches: Iterable[pa.RecordBatch], model: AttentionModel, kind: str, turn: int) -> Iterator[pa.RecordBatch]:
     """The weights that each shard goes on to."""
     for (shard,), rows in sorted_groups(batches, 1):
-        read, told = (np.frombuffer(b"".join(r[c] for r in rows), "<i4").reshape(len(rows), -1) for c in (1, 2))
-        valid = np.frombuffer(b"".join(r[3] for r in rows), bool).reshape(len(rows), -1)
+        read, valid, told, times = block_windows(rows, kind)
         own = model.learnt(model.flat())
-        own.fit(model.place[read], valid, told, 0.01 * 0.7**turn, seed=9 + turn)
-        weights = own.flat().astype("<f8").tobytes()
-        yield emit({"group": [shard % GROUPS], "shard": [shard], "n": [len(rows)], "weights": [weights]}, FITTED)
+        own.fit(model.place[read], valid, told, times, 0.01 * 0.7**turn, seed=9 + turn)
+        weights = own.flat().astype("<f4").tobytes()
+        yield emit({"group": [shard % GROUPS], "shard": [shard], "n": [int(times.sum())], "weights": [weights]}, FITTED)
 
 
 def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -522,25 +568,22 @@ def _added(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for group, _, n, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             before, total = sums.get(group, (0, 0.0))
-            sums[group] = before + n, total + n * np.frombuffer(raw, "<f8")
+            sums[group] = before + n, total + n * np.frombuffer(raw, "<f4").astype("<f8")
     for group, (n, total) in sums.items():
         yield emit({"group": [group], "shard": [0], "n": [n], "weights": [total.tobytes()]}, FITTED)
 
 
 def fit_model(coded: DataFrame, counts: Counts, end_id: int) -> AttentionModel:
-    """Fit the attention weights on a sample of windows that grows with the coded texts."""
+    """Fit the attention weights on all windows of the coded texts."""
     model = AttentionModel(counts)
     kind = id_type(len(counts.id_counts))
-    windows = float(counts.id_counts.sum() + counts.documents) / (CONTEXT - OVERLAP)
-    share = FIT_SHARE + FIT_WINDOWS / max(1.0, windows)
-    shards = int(-(-min(1.0, share) * windows // SHARD_WINDOWS)) or 1
-    drawn = coded.select("mark", "ids").mapInArrow(lambda b: _drawn(b, kind, end_id, share, shards), WINDOWS_SQL)
-    # windows of repeated rows count once, so that no shard is larger than the others
-    dealt = stored(drawn.distinct().repartition(shards, "shard").sortWithinPartitions("shard", "key", "read", "told"))
+    windows = float(counts.id_counts.sum()) / (CONTEXT - OVERLAP)
+    shards = int(-(-windows // SHARD_WINDOWS)) or 1
     context = coded.sparkSession.sparkContext
     for turn in range(ROUNDS):
         sent = context.broadcast(model.learnt(model.flat()))
-        fitted = dealt.mapInArrow(lambda b, sent=sent, turn=turn: _fitted(b, sent.value, turn), FITTED_SQL)
+        blocks = deal_blocks(coded, kind, end_id, shards, turn).select("shard", "lead", "ids", "times")
+        fitted = blocks.mapInArrow(lambda b, sent=sent, turn=turn: _fitted(b, sent.value, kind, turn), FITTED_SQL)
         added = fitted.repartition("group").sortWithinPartitions("group", "shard").mapInArrow(_added, FITTED_SQL)
         sums = sorted((r["group"], r["n"], bytes(r["weights"])) for r in added.collect())
         if sums:
