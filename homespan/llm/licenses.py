@@ -3,12 +3,14 @@
 Method. Text and template are words (A-Z lowered runs of letters, digits and non-ASCII bytes). Patience alignment
 takes the words that are unique in both as anchors, keeps the longest increasing subsequence of their places, and
 aligns the gaps between anchors again; a gap without anchors gives up its common ends and is then aligned in full,
-in space that grows with its length alone, so that texts in which a license stands several times take no table.
-Coverage is the share of template words that are aligned.
+by rows of bits of which ``TABLE_CELLS`` are held at a time and others made again. Coverage is the share of template
+words that are aligned. The same steps are taken at every length of text and template.
 
 Where to align. A passage that covers at least ``coverage`` of a template lacks fewer than ``m`` of its words, so
 one of its ``m`` least frequent distinct words is in it; every place of such a word is looked at in a stretch of
-twice the template's length to both sides. Texts that lack too many words are passed over at once. All passages
+twice the template's length to both sides, and half a length more to the right, so that a stretch without passages
+settles the places in that half too. A stretch whose longest common subsequence with the template is too short by k
+words settles the places fewer than k words farther on, as each of these words adds one at most. All passages
 are found; of overlapping ones that with more words aligned, then with more coverage, then the earlier, stays.
 
 Scale. A map over the rows with whole texts; templates are a bounded parameter.
@@ -23,6 +25,8 @@ import json
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator, Mapping
+from itertools import islice
+from math import ceil
 from pathlib import Path
 
 import numpy as np
@@ -79,61 +83,43 @@ def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def _common_subsequence(a: list, b: list) -> list[tuple[int, int]]:
-    """Pairs of a longest common subsequence: from one table if it is small, else half by half in linear space."""
-    numbers = {w: n for n, w in enumerate(dict.fromkeys(b))}
-    x, y = (np.array([numbers.get(w, -1) for w in side], np.int32) for side in (a, b))
-    return _halved(x, y)
-
-
-def common_length(a: list, b: list) -> int:
-    """Length of a longest common subsequence, a row of the table held in the bits of one number."""
+def _rows(a: list, b: list, row: int) -> Iterator[int]:
+    """Rows of the table of common subsequences after each word of a: bit j is 0 where b[j] adds one to the length."""
     marks: dict = {}
     for j, word in enumerate(b):
         marks[word] = marks.get(word, 0) | 1 << j
-    whole = row = (1 << len(b)) - 1
+    whole = (1 << len(b)) - 1
     for word in a:
         if same := row & marks.get(word, 0):
             row = ((row + same) | (row - same)) & whole
-    return len(b) - row.bit_count()
+        yield row
 
 
-def _next_row(last: np.ndarray, same: np.ndarray) -> np.ndarray:
-    """Lengths of common subsequences with every begin of b, one element of a further."""
-    row = last.copy()
-    np.maximum.accumulate(np.maximum(last[1:], last[:-1] + same), out=row[1:])
-    return row
+def common_length(a: list, b: list) -> int:
+    """Length of a longest common subsequence, a row of the table held in the bits of one number."""
+    row = whole = (1 << len(b)) - 1
+    for row in _rows(a, b, whole):
+        pass
+    return len(b) - row.bit_count()
 
 
-def _halved(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    if not len(a) or not len(b):
-        return []
-    if len(a) * len(b) <= TABLE_CELLS or len(a) == 1:
-        return _from_table(a, b)
-    half = len(a) // 2
-    front = back = np.zeros(len(b) + 1, np.int32)
-    for x in a[:half]:
-        front = _next_row(front, b == x)
-    for x in a[:half - 1 if half else None:-1]:
-        back = _next_row(back, b[::-1] == x)
-    cut = int((front + back[::-1]).argmax())
-    rest = _halved(a[half:], b[cut:])
-    return [*_halved(a[:half], b[:cut]), *((half + i, cut + j) for i, j in rest)]
-
-
-def _from_table(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    rows = [np.zeros(len(b) + 1, np.int32)]
-    for x in a:
-        rows.append(_next_row(rows[-1], b == x))
-    out, i, j = [], len(a), len(b)
+def _common_subsequence(a: list, b: list) -> list[tuple[int, int]]:
+    """Pairs of a longest common subsequence, read from the table's end; TABLE_CELLS of it are held, others made again."""
+    step = max(1, TABLE_CELLS // max(1, len(b)))
+    whole = (1 << len(b)) - 1
+    firsts = [whole, *islice(_rows(a[: (len(a) - 1) // step * step], b, whole), step - 1, None, step)]
+    out, i, j, rows, low = [], len(a), len(b), [], len(a)
     while i and j:
-        if a[i - 1] == b[j - 1] and rows[i][j] == rows[i - 1][j - 1] + 1:
+        if i <= low:
+            low = (i - 1) // step * step
+            rows = [firsts[low // step], *_rows(a[low:i], b, firsts[low // step])]
+        if a[i - 1] == b[j - 1]:
             i, j = i - 1, j - 1
             out.append((i, j))
-        elif rows[i - 1][j] >= rows[i][j - 1]:
-            i -= 1
-        else:
+        elif ((rows[i - 1 - low] ^ rows[i - low]) & ((1 << j) - 1)).bit_count() & 1:
             j -= 1
+        else:
+            i -= 1
     return out[::-1]
 
 
@@ -215,55 +201,86 @@ class Templates:
                 break
         places = [i for i, w in enumerate(words) if w in chosen]
         out: list[tuple] = []
-        done, empty, passed = -1, None, -1
+        done, empty, beyond = -1, None, -1
         for place in places:
-            stretch = max(0, place - 2 * size, done), min(place + 2 * size + 1, len(words))
-            if place >= max(done, passed) and stretch != empty:
-                found = self._within(name, template, words, *stretch)
-                out += found
-                empty = None if found else stretch
-                done = max([done, *(p[3] for p in found)])
-                if not found and 4 * size * size > TABLE_CELLS:
-                    passed = place + size // 2  # a passage of up to 1.5 templates around a word before lay in the stretch
+            stretch = max(0, place - 2 * size, done), min(place + 2 * size + size // 2 + 1, len(words))
+            if place < max(done, beyond) or stretch == empty:
+                continue
+            lacking = self._lacking(name, template, words[slice(*stretch)])
+            found = [] if lacking else self._within(name, template, words, *stretch)
+            out += found
+            empty = None if found else stretch
+            done = max([done, *(p[3] for p in found)])
+            if not found:
+                beyond = place + max(lacking, size // 2 + 1)
         return out
 
+    def _lacking(self, name: str, template: list, words: list) -> int:
+        """By how many words the longest common subsequence is too short for a passage; of words in any order, if these do."""
+        seen = Counter(words)
+        least = self.coverage * len(template)
+        for most in (
+            lambda: sum(min(n, seen.get(w, 0)) for w, n in self.distinct[name].items()),
+            lambda: common_length(words, template),
+        ):
+            if (lacking := least - most()) > 0:
+                return ceil(lacking)
+        return 0
+
     def _within(self, name: str, template: list, words: list, low: int, high: int) -> list[tuple]:
         """The passage that the alignment of a stretch finds, and those left and right of it."""
         size = len(template)
-        stretch = words[low:high]
-        if self._lacks_too_much(self.distinct[name], size, Counter(stretch)):
-            return []
-        large = len(stretch) * size > TABLE_CELLS
-        if large and len(stretch) > size + 2 * _slack(size):
-            near = low + _likely_begin(stretch, template)
-            inner = max(low, near - _slack(size)), min(high, near + size + _slack(size))
-            if found := self._within(name, template, words, *inner):
-                sides = (low, found[0][2]), (found[-1][3], high)
-                left, right = (self._within(name, template, words, *side) for side in sides)
-                return [*left, *found, *right]
-        if large and common_length(stretch, template) < self.coverage * size:
-            return []
-        pairs = align(stretch, template)
-        if len(pairs) < self.coverage * size:
-            return []
-        pairs = _densest(pairs, self.coverage * size, size)
-        begin, end = low + pairs[0][0], low + pairs[-1][0] + 1
-        if end - begin > 2 * size:  # words far apart: the passage, if any, lies on one side of the widest gap
-            if large:
+        least = self.coverage * size
+        while not self._lacking(name, template, stretch := words[low:high]):
+            if len(stretch) > size + 2 * _slack(size):
+                near = low + _likely_begin(stretch, template)
+                inner = max(low, near - _slack(size)), min(high, near + size + _slack(size))
+                if found := self._within(name, template, words, *inner):
+                    sides = (low, found[0][2]), (found[-1][3], high)
+                    left, right = (self._within(name, template, words, *side) for side in sides)
+                    return [*left, *found, *right]
+            pairs = align(stretch, template)
+            if len(pairs) < least:
                 return []
-            gap = max(range(1, len(pairs)), key=lambda k: pairs[k][0] - pairs[k - 1][0])
-            middle = low + pairs[gap - 1][0] + 1
-            sides = (low, middle), (middle, high)
-            return [p for side in sides for p in self._within(name, template, words, *side)]
-        lacking = size - len(pairs)
-        if lacking:  # words like those at its ends, farther away, may have been aligned in their place
-            near = max(low, begin - lacking)
-            again = align(words[near : min(high, end + lacking)], template)
-            if len(again) > len(pairs):
-                pairs, begin, end = again, near + again[0][0], near + again[-1][0] + 1
-        here = (name, len(pairs) / size, begin, end)
-        left, right = (self._within(name, template, words, a, b) for a, b in ((low, begin), (end, min(high, len(words)))))
-        return [*left, here, *right]
+            pairs = _densest(pairs, least, size)
+            begin, end = low + pairs[0][0], low + pairs[-1][0] + 1
+            if end - begin > 2 * size:  # words far apart: the passage, if any, lies on one side of the widest gap
+                if not self._near_enough(name, stretch, size):
+                    return []
+                gap = max(range(1, len(pairs)), key=lambda k: (pairs[k][0] - pairs[k - 1][0], min(k, len(pairs) - k)))
+                middle = low + pairs[gap - 1][0] + 1
+                if middle - low < least:
+                    low = middle
+                elif high - middle < least:
+                    high = middle
+                else:
+                    sides = (low, middle), (middle, high)
+                    return [p for side in sides for p in self._within(name, template, words, *side)]
+                continue
+            lacking = size - len(pairs)
+            if lacking:  # words like those at its ends, farther away, may have been aligned in their place
+                near = max(low, begin - lacking)
+                again = align(words[near : min(high, end + lacking)], template)
+                if len(again) > len(pairs):
+                    pairs, begin, end = again, near + again[0][0], near + again[-1][0] + 1
+            here = (name, len(pairs) / size, begin, end)
+            left, right = (self._within(name, template, words, a, b) for a, b in ((low, begin), (end, high)))
+            return [*left, here, *right]
+        return []
+
+    def _near_enough(self, name: str, words: list, size: int) -> bool:
+        """Whether twice the template's length holds enough of its words, in any order, somewhere."""
+        counts, seen, held = self.distinct[name], Counter(), 0
+        for i, word in enumerate(words):
+            seen[word] += 1
+            held += seen[word] <= counts.get(word, 0)
+            if i >= 2 * size:
+                gone = words[i - 2 * size]
+                held -= seen[gone] <= counts.get(gone, 0)
+                seen[gone] -= 1
+            if held >= self.coverage * size:
+                return True
+        return False
 
 
 def _slack(size: int) -> int:

@@ -105,3 +105,40 @@ def test_license_texts_in_a_row(name):
     found = KNOWN.passages((text + " some words between. ").encode() * 5)
     assert time.perf_counter() - begin < 8
     assert len([p for p in found if p[1] > 0.95]) == 5
+
+
+def scattered(draw, template):
+    """A text of pieces of the template, some changed, between other words."""
+    out = []
+    for _ in range(int(draw.integers(1, 6))):
+        out += [f"o{i}" for i in draw.integers(0, 30, int(draw.integers(0, len(template) * 2)))]
+        begin, end = sorted(draw.integers(0, len(template) + 1, 2))
+        piece = template[begin:end] if draw.random() < 0.5 else template[:]
+        out += [w for w in piece if draw.random() < draw.choice([0.8, 0.9, 1.0])]
+    return " ".join(out).encode()
+
+
+def test_passages_do_not_depend_on_the_size_of_a_table(monkeypatch):
+    draw = np.random.default_rng(8)
+    for _ in range(150):
+        template = [f"w{i}" for i in draw.integers(0, 40, int(draw.integers(8, 60)))]
+        known, text = licenses.Templates({"t": " ".join(template)}), scattered(draw, template)
+        found = []
+        for cells in (0, 300, 10**9):
+            monkeypatch.setattr(licenses, "TABLE_CELLS", cells)
+            found.append(known.passages(text))
+        assert found[0] == found[1] == found[2]
+
+
+def test_long_templates_find_what_short_ones_find():
+    """Passages of four times as long a template, each word drawn out to four, lie at four times the places."""
+    draw = np.random.default_rng(9)
+    for _ in range(25):
+        template = [f"w{i}" for i in range(100)]
+        begin = int(draw.integers(0, 21))
+        words = [f"o{i}" for i in range(int(draw.integers(0, 300)))] + template[begin : begin + 80]
+        words = template[:begin] + [f"p{i}" for i in range(int(draw.integers(0, 90)))] + words + ["q"] * int(draw.integers(0, 200))
+        long = lambda ws: " ".join(f"{w}{c}" for w in ws for c in "abcd")
+        one = licenses.Templates({"t": " ".join(template)}).passages(" ".join(words).encode())
+        four = licenses.Templates({"t": long(template)}).passages(long(words).encode())
+        assert one and [(p[1], p[2] * 4, p[3] * 4) for p in one] == [p[1:] for p in four]
