@@ -60,6 +60,12 @@ CHUNK_BYTES = 1_000_000
 BATCH_WINDOWS = 256
 COUNT_ROWS = 6_000_000
 PRIOR = 60.0
+#: Columns of a table row: query, key, value, and a one that adds up shares (and a zero, as columns are added in pairs).
+QUERY, KEY, VALUE = (slice(i * WIDTH, (i + 1) * WIDTH) for i in range(3))
+MIXED = slice(VALUE.start, VALUE.stop + 1)
+ROW = 3 * WIDTH + 2
+#: How far back each place of a window lies from each scored place.
+GAPS = np.arange(OVERLAP, CONTEXT)[:, None] - np.arange(CONTEXT)[None]
 
 WORD, PAIR = 0, 1
 COUNTS = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("n", pa.int64())])
@@ -301,7 +307,7 @@ def _log_softmax(z: np.ndarray) -> np.ndarray:
 
 
 class AttentionModel:
-    """Tables by active id (one more for the slot of other ids, one for padding) and the readout."""
+    """A row by active id (one more for the slot of other ids, and one of zeros for places outside a text) and the readout."""
 
     def __init__(self, counts: Counts, seed: int = 5):
         n, size = len(counts.active), len(counts.id_counts)
@@ -313,10 +319,12 @@ class AttentionModel:
         self._count_tables(counts, n, size)
         draw = np.random.default_rng(seed)
         normal = lambda *shape, scale: draw.normal(0, scale, shape).astype(np.float32)
+        rows = np.zeros((n + 2, ROW), np.float32)
+        for part, scale in ((QUERY, 0.3), (KEY, 0.3), (VALUE, 0.1)):
+            rows[:-1, part] = normal(n + 1, WIDTH, scale=scale)
+        rows[:-1, VALUE.stop] = 1
         self.weights = {
-            "query": normal(n + 1, WIDTH, scale=0.3),
-            "key": normal(n + 1, WIDTH, scale=0.3),
-            "value": normal(n + 1, WIDTH, scale=0.1),
+            "rows": rows,
             "distance": np.zeros(CONTEXT, np.float32),
             "read": normal(WIDTH, self.classes, scale=0.1),
         }
@@ -338,51 +346,76 @@ class AttentionModel:
         inside = (counts.pairs + PRIOR * single) / (by_class + PRIOR * class_share)[:, self.class_of]
         self.log_inside = np.log(inside).astype(np.float32)
 
-    def attend(self, ids: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Mixed values for the scored places of windows ``ids`` (windows, CONTEXT)."""
-        w = self.weights
-        q, k, v = w["query"][ids[:, OVERLAP:]], w["key"][ids], w["value"][ids]
-        raw = q @ k.transpose(0, 2, 1)
-        raw *= WIDTH**-0.5
-        raw += self._shape()
-        raw += np.where(valid, np.float32(0), np.float32(-1e9))[:, None, :]
-        raw -= raw.max(axis=2, keepdims=True)
-        share = np.exp(raw, out=raw)
-        share /= share.sum(axis=2, keepdims=True)
-        return share @ v, share, q, k, v
+    def _attend(self, ids: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Rows of windows ``ids`` (windows, CONTEXT), their keys, values and ones by column, exponentials of the scored
+        places' scores, their sums, and mixed values.
+
+        A place outside its text has a row of zeros, whose one is a zero too, so that it is in neither sums nor values.
+        """
+        rows = self.weights["rows"].take(ids, axis=0)
+        columns = np.ascontiguousarray(rows[:, :, KEY.start : MIXED.stop].transpose(0, 2, 1))
+        shape = self._shape()
+        for shifted in (False, True):
+            raw = rows[:, OVERLAP:, QUERY] @ columns[:, :WIDTH]
+            raw *= np.float32(WIDTH**-0.5)
+            raw += shape
+            if shifted:
+                raw += np.where(valid, np.float32(0), np.float32(-1e9))[:, None, :]
+                raw -= raw.max(axis=2, keepdims=True)
+            with np.errstate(over="ignore", invalid="ignore"):
+                np.exp(raw, out=raw)
+                both = raw @ rows[:, :, MIXED]
+            sums = both[:, :, WIDTH:]
+            if _fair(sums):
+                break
+        return rows, columns, raw, sums, both[:, :, :WIDTH] / sums
+
+    def _tops(self, mixed: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Exponentials of the readout of every scored place by class, and their sums."""
+        prior = self.log_class.take(last.ravel(), axis=0)
+        for shifted in (False, True):
+            top = (mixed @ self.weights["read"]).reshape(prior.shape)
+            top += prior
+            if shifted:
+                top -= top.max(axis=1, keepdims=True)
+            with np.errstate(over="ignore", invalid="ignore"):
+                sums = np.exp(top, out=top) @ np.ones(self.classes, np.float32)
+            if _fair(sums):
+                break
+        return top, sums
 
     def _shape(self) -> np.ndarray:
         """Bias by distance, and the causal mask."""
-        gap = np.arange(OVERLAP, CONTEXT)[:, None] - np.arange(CONTEXT)[None]
-        return np.where(gap >= 0, self.weights["distance"][np.maximum(gap, 0)], np.float32(-1e9))
+        return np.where(GAPS >= 0, self.weights["distance"][np.maximum(GAPS, 0)], np.float32(-1e9))
 
     def ready(self) -> None:
         """Tables for scoring: scaled queries, the bias by distance, and whether exponentials need a shift."""
         w = self.weights
-        self.scaled = w["query"] * np.float32(WIDTH**-0.5)
+        self.scaled = w["rows"].copy()
+        self.scaled[:, QUERY] *= np.float32(WIDTH**-0.5)
         self.shape = self._shape().astype(np.float32)
         longest = lambda t: float(np.linalg.norm(t, axis=-1).max(initial=0))
-        reach = longest(self.scaled) * longest(w["key"]) + float(np.abs(w["distance"]).max())
-        self.small = max(reach, longest(w["value"]) * longest(w["read"].T)) < 60
+        reach = longest(self.scaled[:, QUERY]) * longest(w["rows"][:, KEY]) + float(np.abs(w["distance"]).max())
+        self.small = max(reach, longest(w["rows"][:, VALUE]) * longest(w["read"].T)) < 60
 
     def log_chances(self, ids: np.ndarray, valid: np.ndarray | None, told: np.ndarray) -> np.ndarray:
         """Natural log of the chance of every scored place; ``told`` holds vocabulary ids. No mask: all are valid."""
         last, next_place = ids[:, OVERLAP:], self.place[told]
-        raw = self.scaled[last] @ self.weights["key"][ids].transpose(0, 2, 1)
+        rows = self.scaled.take(ids if valid is None else np.where(valid, ids, len(self.scaled) - 1), axis=0)
+        raw = rows[:, OVERLAP:, QUERY] @ np.ascontiguousarray(rows[:, :, KEY].transpose(0, 2, 1))
         raw += self.shape
-        if valid is not None:
-            raw += np.where(valid, np.float32(0), np.float32(-1e9))[:, None, :]
-        if not self.small or valid is not None:
+        if not self.small:
+            if valid is not None:
+                raw += np.where(valid, np.float32(0), np.float32(-1e9))[:, None, :]
             raw -= raw.max(axis=2, keepdims=True)
         np.exp(raw, out=raw)
-        mixed = raw @ self.weights["value"][ids]
-        mixed /= raw.sum(axis=2, keepdims=True)
-        z = mixed.reshape(-1, WIDTH) @ self.weights["read"]
-        z += self.log_class[last.ravel()]
+        both = raw @ rows[:, :, MIXED]
+        z = ((both[:, :, :WIDTH] / both[:, :, WIDTH:]) @ self.weights["read"]).reshape(-1, self.classes)
+        z += self.log_class.take(last.ravel(), axis=0)
         if not self.small:
             z -= z.max(axis=1, keepdims=True)
-        out = z[np.arange(len(z)), self.class_of[next_place].ravel()]
-        out -= np.log(np.exp(z, out=z).sum(axis=1))
+        out = z.ravel()[_cells(self.class_of[next_place], self.classes)]
+        out -= np.log(np.exp(z, out=z) @ np.ones(self.classes, np.float32))
         return out.reshape(last.shape) + self.log_inside[last, next_place] + self.log_rare[told]
 
     def fit(
@@ -400,14 +433,14 @@ class AttentionModel:
             pick = order[b : b + TRAIN_BATCH]
             scale = rate * np.sqrt(1 - 0.99 ** (step + 1)) / (1 - 0.9 ** (step + 1))
             for name, grad in self._gradients(ids[pick], valid[pick], aims[pick], times[pick]).items():
-                first, second = moments[name]
+                first, second = moments[name]  # 10 times the mean of gradients, 100 times that of their squares
                 first *= np.float32(0.9)
-                first += np.float32(0.1) * grad
+                first += grad
                 grad *= grad
                 second *= np.float32(0.99)
-                second += np.float32(0.01) * grad
+                second += grad
                 root = np.sqrt(second, out=grad)
-                root += np.float32(1e-7)
+                root += np.float32(1e-6)
                 np.divide(first, root, out=root)
                 root *= np.float32(scale)
                 self.weights[name] -= root
@@ -429,42 +462,53 @@ class AttentionModel:
         self, ids: np.ndarray, valid: np.ndarray, aims: np.ndarray, times: np.ndarray
     ) -> dict[str, np.ndarray]:
         """Of the mean loss over the valid scored places; ``aims`` holds the classes to predict there."""
-        w = self.weights
-        last = ids[:, OVERLAP:]
-        mixed, share, q, k, v = self.attend(ids, valid)
-        flat = mixed.reshape(-1, WIDTH)
-        top = flat @ w["read"]
-        top += self.log_class[last.ravel()]
-        top -= top.max(axis=1, keepdims=True)
-        np.exp(top, out=top)
+        read = self.weights["read"]
+        size = len(self.weights["rows"])
+        at = np.where(valid, ids, size - 1)
+        rows, columns, share, sums, mixed = self._attend(at, valid)
+        top, tops = self._tops(mixed, ids[:, OVERLAP:])
         live = valid[:, OVERLAP:] * times[:, None].astype(np.float32)
         live /= max(1, live.sum())
-        top *= (live.ravel() / top.sum(axis=1))[:, None]
-        top[np.arange(len(top)), aims.ravel()] -= live.ravel()
-        back = (top @ w["read"].T).reshape(mixed.shape)
-        to_raw = back @ v.transpose(0, 2, 1)
-        to_raw -= (back * mixed).sum(axis=2, keepdims=True)
+        top.ravel()[_cells(aims, self.classes)] -= tops
+        top, part = top.reshape(*live.shape, -1), live[:, :, None] / tops.reshape(*live.shape, 1)
+        back = np.empty((*live.shape, WIDTH + 1), np.float32)
+        np.multiply(top @ np.ascontiguousarray(read.T), part / sums, out=back[:, :, :WIDTH])
+        np.negative(np.einsum("bij,bij->bi", back[:, :, :WIDTH], mixed), out=back[:, :, WIDTH])
+        to_raw = back @ columns[:, WIDTH:]
         to_raw *= share
-        gap = np.arange(OVERLAP, CONTEXT)[:, None] - np.arange(CONTEXT)[None]
-        near = np.bincount(gap[gap >= 0], to_raw.sum(axis=0)[gap >= 0], CONTEXT)
-        to_raw *= np.float32(WIDTH**-0.5)
-        size = len(w["query"])
-        back_key = np.concatenate([to_raw.transpose(0, 2, 1) @ q, share.transpose(0, 2, 1) @ back], axis=2)
-        both = _rows_added(ids, back_key, size)
-        return {
-            "query": _rows_added(last, to_raw @ k, size), "key": both[:, :WIDTH], "value": both[:, WIDTH:],
-            "distance": near.astype(np.float32), "read": flat.T @ top,
-        }
+        near = np.bincount(GAPS[GAPS >= 0], to_raw.sum(axis=0)[GAPS >= 0], CONTEXT)
+        grads = np.empty_like(rows)
+        grads[:, :OVERLAP, QUERY] = 0
+        grads[:, :, VALUE.stop :] = 0
+        np.matmul(to_raw, rows[:, :, KEY], out=grads[:, OVERLAP:, QUERY])
+        np.matmul(to_raw.transpose(0, 2, 1), rows[:, OVERLAP:, QUERY], out=grads[:, :, KEY])
+        np.matmul(share.transpose(0, 2, 1), back[:, :, :WIDTH], out=grads[:, :, VALUE])
+        added = _rows_added(at, grads, size)
+        added[:, : KEY.stop] *= np.float32(WIDTH**-0.5)
+        added[-1] = 0
+        mixed *= part
+        return {"rows": added, "distance": near.astype(np.float32), "read": (mixed.transpose(0, 2, 1) @ top).sum(axis=0)}
+
+
+def _fair(sums: np.ndarray) -> bool:
+    """Whether sums of exponentials are far from the ends of their type; if not, the largest is to be taken off first."""
+    return bool(sums.min(initial=1) > 1e-12 and sums.max(initial=1) < 1e12)
+
+
+def _cells(columns: np.ndarray, width: int) -> np.ndarray:
+    """Places in a flat table of ``width`` columns of one column a row."""
+    return np.arange(columns.size) * width + columns.ravel()
 
 
 def _rows_added(at: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    """A table of ``size`` rows with the sums of the rows at each place."""
-    at = at.ravel()
+    """A table of ``size`` rows with the sums of the rows at each place; an even number of columns, added in pairs."""
+    at = at.ravel().astype(np.min_scalar_type(size))
     order = np.argsort(at, kind="stable")
     places = at[order]
     begins = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
     out = np.zeros((size, rows.shape[-1]), np.float32)
-    out[places[begins]] = np.add.reduceat(rows.reshape(len(at), -1)[order], begins, axis=0)
+    pairs = rows.reshape(len(at), -1).view(np.complex64).take(order, axis=0)
+    out.view(np.complex64)[places[begins]] = np.add.reduceat(pairs, begins, axis=0)
     return out
 
 
@@ -489,14 +533,12 @@ def score_stream(model: AttentionModel, read: np.ndarray, told: np.ndarray, begi
     places, valid, owner = cut_windows(begins)
     total = np.zeros(len(begins) - 1)
     read_places = model.place[read]
-    whole = valid.all(axis=1)
-    for rows, masked in ((np.flatnonzero(whole), False), (np.flatnonzero(~whole), True)):
-        for b in range(0, len(rows), BATCH_WINDOWS):
-            part = rows[b : b + BATCH_WINDOWS]
-            at, inside = places[part], valid[part]
-            got = model.log_chances(read_places[at], inside if masked else None, told[at[:, OVERLAP:]])
-            sums = np.where(inside[:, OVERLAP:], got, 0).sum(axis=1, dtype=np.float64)
-            total += np.bincount(owner[part], sums, len(total))
+    for b in range(0, len(places), BATCH_WINDOWS):
+        part = slice(b, b + BATCH_WINDOWS)
+        inside, aims = valid[part], told[places[part, OVERLAP:]]
+        got = model.log_chances(read_places[places[part]], inside, aims)
+        sums = np.where(inside[:, OVERLAP:], got, 0).astype(np.float64) @ np.ones(CONTEXT - OVERLAP)
+        total += np.bincount(owner[part], sums, len(total))
     return total / np.log(10)
 
 
@@ -603,6 +645,26 @@ SCORED_SQL = (
 )
 
 
+class HeadWords:
+    """Looks hashes up among sorted ones, from where those of the same first bits begin."""
+
+    def __init__(self, sorted_hashes: np.ndarray, bits: int = 18):
+        self.shift, self.half = 64 - bits, 1 << bits - 1
+        self.begins = np.searchsorted(sorted_hashes, np.arange(-self.half, self.half) << self.shift)
+        self.most = int(np.diff(self.begins, append=len(sorted_hashes)).max())
+        self.held = np.append(sorted_hashes, np.iinfo(np.int64).max)
+        self.size = len(sorted_hashes)
+
+    def __call__(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of the first that is not smaller, and whether it is the one; 0 and not, where there is none."""
+        at = self.begins[(hashes >> self.shift) + self.half]
+        for _ in range(self.most):
+            at += self.held[at] < hashes
+        known = (self.held[at] == hashes) & (at < self.size)
+        at[at == self.size] = 0
+        return at, known
+
+
 def _scored(
     batches: Iterable[pa.RecordBatch], model: AttentionModel, counts: Counts, end_id: int
 ) -> Iterator[pa.RecordBatch]:
@@ -610,6 +672,7 @@ def _scored(
     kind = id_type(len(counts.id_counts))
     model.ready()
     share = np.log10(counts.tokens + counts.vocabulary + 1)
+    head = HeadWords(counts.head)
     head_scores = np.log10(counts.head_counts + 1.0) - share
     end_score = np.log10(counts.documents + 1.0) - share
     for batch in batches:
@@ -618,9 +681,7 @@ def _scored(
             ids, bounds, hashes, first = id_arrays(texts[part], sizes[part], kind)
             n = len(first) - 1
             owner = np.repeat(np.arange(n), np.diff(first))
-            at = np.searchsorted(counts.head, hashes)
-            at[at == len(counts.head)] = 0
-            known = counts.head[at] == hashes if len(counts.head) else np.zeros(len(hashes), bool)
+            at, known = head(hashes)
             base = np.bincount(owner[known], head_scores[at[known]], n) + end_score
             in_head = np.bincount(owner[known], minlength=n) + (counts.documents > 0)
             scores = score_stream(model, *sequences(ids, bounds, end_id))
