@@ -32,7 +32,7 @@ often as they came in. Null conditions for learning are false. Without training
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from copy import copy
 from dataclasses import dataclass
 
@@ -57,7 +57,7 @@ TRAIN_BATCH = 128
 GROUPS = 16
 HEAD_WORDS = 1 << 18
 CHUNK_BYTES = 1_000_000
-BATCH_WINDOWS = 256
+BATCH_WINDOWS = 64
 COUNT_ROWS = 6_000_000
 PRIOR = 60.0
 #: Columns of a table row: query, key, value, and a one that adds up shares (and a zero, as columns are added in pairs).
@@ -85,29 +85,11 @@ def sequences(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndar
     return read, told, begins
 
 
-def _word_counts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(keys, return_counts=True)
-
-
-def _pair_counts(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of (id << 20 | next id), over a table of the ids that occur if it is small."""
-    a, b = pairs >> 20, pairs & ((1 << 20) - 1)
-    shown = np.flatnonzero(np.bincount(a) + np.bincount(b, minlength=a.max() + 1)[: a.max() + 1])
-    shown = np.union1d(shown, np.flatnonzero(np.bincount(b)))
-    if len(shown) ** 2 > 4 * len(pairs):
-        return np.unique(pairs, return_counts=True)
-    place = np.zeros(shown[-1] + 1, np.int64)
-    place[shown] = np.arange(len(shown))
-    n = np.bincount(place[a] * len(shown) + place[b])
-    cells = np.flatnonzero(n)
-    return (shown[cells // len(shown)] << 20) | shown[cells % len(shown)], n[cells]
-
-
 class _Counter:
     """Gathers keys and gives partial counts when enough are there."""
 
-    def __init__(self, kind: int, count: Callable):
-        self.kind, self.count, self.held, self.size = kind, count, [], 0
+    def __init__(self, kind: int):
+        self.kind, self.held, self.size = kind, [], 0
 
     def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
         self.held.append(keys)
@@ -117,7 +99,7 @@ class _Counter:
 
     def drain(self) -> Iterator[pa.RecordBatch]:
         if self.size:
-            keys, n = self.count(np.concatenate(self.held))
+            keys, n = np.unique(np.concatenate(self.held), return_counts=True)
             self.held, self.size = [], 0
             for b in range(0, len(keys), 100_000):
                 part = slice(b, b + 100_000)
@@ -199,7 +181,7 @@ def id_hashes(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _counted(batches: Iterable[pa.RecordBatch], kind: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    words, pairs = _Counter(WORD, _word_counts), _Counter(PAIR, _pair_counts)
+    words, pairs = _Counter(WORD), _Counter(PAIR)
     for batch in batches:
         texts, sizes = (c.to_pylist() for c in batch.columns)
         for part in in_chunks(map(len, texts), CHUNK_BYTES):
@@ -400,7 +382,7 @@ class AttentionModel:
 
     def log_chances(self, ids: np.ndarray, valid: np.ndarray | None, told: np.ndarray) -> np.ndarray:
         """Natural log of the chance of every scored place; ``told`` holds vocabulary ids. No mask: all are valid."""
-        last, next_place = ids[:, OVERLAP:], self.place[told]
+        last, next_place = ids[:, OVERLAP:].ravel(), self.place.take(told.ravel())
         rows = self.scaled.take(ids if valid is None else np.where(valid, ids, len(self.scaled) - 1), axis=0)
         raw = rows[:, OVERLAP:, QUERY] @ np.ascontiguousarray(rows[:, :, KEY].transpose(0, 2, 1))
         raw += self.shape
@@ -411,12 +393,14 @@ class AttentionModel:
         np.exp(raw, out=raw)
         both = raw @ rows[:, :, MIXED]
         z = ((both[:, :, :WIDTH] / both[:, :, WIDTH:]) @ self.weights["read"]).reshape(-1, self.classes)
-        z += self.log_class.take(last.ravel(), axis=0)
+        z += self.log_class.take(last, axis=0)
         if not self.small:
             z -= z.max(axis=1, keepdims=True)
-        out = z.ravel()[_cells(self.class_of[next_place], self.classes)]
+        out = z.ravel().take(_cells(self.class_of.take(next_place), self.classes))
         out -= np.log(np.exp(z, out=z) @ np.ones(self.classes, np.float32))
-        return out.reshape(last.shape) + self.log_inside[last, next_place] + self.log_rare[told]
+        out += self.log_inside.ravel().take(last * len(self.log_inside) + next_place)
+        out += self.log_rare.take(told.ravel())
+        return out.reshape(told.shape)
 
     def fit(
         self, ids: np.ndarray, valid: np.ndarray, told: np.ndarray, times: np.ndarray, rate: float = 0.01, seed: int = 9
@@ -487,6 +471,7 @@ class AttentionModel:
         added[:, : KEY.stop] *= np.float32(WIDTH**-0.5)
         added[-1] = 0
         mixed *= part
+        mixed, top = (t.reshape(_groups(len(t)), -1, t.shape[-1]) for t in (mixed, top))
         return {"rows": added, "distance": near.astype(np.float32), "read": (mixed.transpose(0, 2, 1) @ top).sum(axis=0)}
 
 
@@ -495,6 +480,11 @@ def _fair(sums: np.ndarray) -> bool:
     return bool(sums.min(initial=1) > 1e-12 and sums.max(initial=1) < 1e12)
 
 
+def _groups(windows: int) -> int:
+    """Into how many groups windows are put for sums over all their places."""
+    return windows // 4 if windows % 4 == 0 else windows
+
+
 def _cells(columns: np.ndarray, width: int) -> np.ndarray:
     """Places in a flat table of ``width`` columns of one column a row."""
     return np.arange(columns.size) * width + columns.ravel()
@@ -530,16 +520,26 @@ def _windows(begins: np.ndarray, leads: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def score_stream(model: AttentionModel, read: np.ndarray, told: np.ndarray, begins: np.ndarray) -> np.ndarray:
     """log10 probability of each text of the stream."""
-    places, valid, owner = cut_windows(begins)
-    total = np.zeros(len(begins) - 1)
-    read_places = model.place[read]
-    for b in range(0, len(places), BATCH_WINDOWS):
+    stride, sizes = CONTEXT - OVERLAP, np.diff(begins)
+    counts = -(-sizes // stride)
+    firsts = np.cumsum(counts) - counts
+    outside = len(model.weights["rows"]) - 1
+    at = np.arange(len(read)) + np.repeat(firsts * stride - begins[:-1], sizes)
+    aims = np.zeros(int(counts.sum()) * stride, np.int64)
+    aims[at] = told
+    last = np.zeros(len(aims), np.int64)  # places after a text's end: no place before them attends to them
+    last[at] = model.place[read]
+    ids = np.empty((len(aims) // stride, CONTEXT), np.int64)
+    ids[:, OVERLAP:] = last.reshape(-1, stride)
+    ids[1:, :OVERLAP] = ids[:-1, stride:]
+    ids[firsts, :OVERLAP] = outside
+    aims = aims.reshape(-1, stride)
+    got = np.empty(aims.shape)
+    for b in range(0, len(ids), BATCH_WINDOWS):
         part = slice(b, b + BATCH_WINDOWS)
-        inside, aims = valid[part], told[places[part, OVERLAP:]]
-        got = model.log_chances(read_places[places[part]], inside, aims)
-        sums = np.where(inside[:, OVERLAP:], got, 0).astype(np.float64) @ np.ones(CONTEXT - OVERLAP)
-        total += np.bincount(owner[part], sums, len(total))
-    return total / np.log(10)
+        valid = None if model.small else ids[part] != outside
+        got[part] = model.log_chances(ids[part], valid, aims[part])
+    return np.add.reduceat(got.ravel()[at], begins[:-1]) / np.log(10)
 
 
 BLOCKS = pa.schema([("shard", pa.int64()), ("key", pa.int64()), ("lead", pa.int64()), ("ids", pa.binary())])
@@ -682,8 +682,9 @@ def _scored(
             n = len(first) - 1
             owner = np.repeat(np.arange(n), np.diff(first))
             at, known = head(hashes)
-            base = np.bincount(owner[known], head_scores[at[known]], n) + end_score
-            in_head = np.bincount(owner[known], minlength=n) + (counts.documents > 0)
+            in_head = owner[known]
+            base = np.bincount(in_head, head_scores[at[known]], n) + end_score
+            in_head = np.bincount(in_head, minlength=n) + (counts.documents > 0)
             scores = score_stream(model, *sequences(ids, bounds, end_id))
             mark, doc = np.array(marks[part], np.int64), docs[part]
             yield emit(

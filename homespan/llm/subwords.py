@@ -16,7 +16,7 @@ from itertools import chain, repeat
 
 import numpy as np
 
-from homespan.llm.common import worker_cache
+from homespan.llm.common import GOLD, worker_cache
 
 
 def _numbered(words: Iterable[bytes]) -> tuple[dict[bytes, int], list[int]]:
@@ -203,31 +203,108 @@ class Runs:
         self.closes[[number for piece, number in ranks.items() if piece.endswith(WORD_END.encode())]] = True
         self.encoding = tiktoken.Encoding("words", pat_str=r"[^\x00]*\x00", mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words whose runs are parted by word ends, and how many each word has."""
+    def encode(self, words: list[str], runs: Iterable[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words whose runs are parted by word ends, and how many each word has; ``runs``: its numbers of runs."""
         ids = self.encoding.encode_to_numpy(WORD_END.join(words) + WORD_END)
         run_ends = np.flatnonzero(self.closes[ids]) + 1
-        word_ends = run_ends[np.cumsum([w.count(WORD_END) + 1 for w in words]) - 1]
+        word_ends = run_ends[np.cumsum([w.count(WORD_END) + 1 for w in words] if runs is None else runs) - 1]
         return ids, np.diff(word_ends, prepend=0)
 
 
+#: Masks of the first 0 to 8 bytes of a little-endian number.
+_FIRST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+class ShortWords:
+    """Places of words of up to 16 bytes by those bytes, one word a slot. A word that is not held has the place -1."""
+
+    def __init__(self, bits: int = 18):
+        self.shift = np.uint64(64 - bits)
+        self.low, self.high = (np.zeros(1 << bits, np.uint64) for _ in range(2))
+        self.place = np.full(1 << bits, -1, np.int64)
+
+    def _slots(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        return (((low ^ (high * np.uint64(0x94D049BB133111EB))) * GOLD) >> self.shift).view(np.int64)
+
+    def __call__(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        slots = self._slots(low, high)
+        return np.where((self.low[slots] == low) & (self.high[slots] == high), self.place[slots], -1)
+
+    def hold(self, low: np.ndarray, high: np.ndarray, places: np.ndarray) -> None:
+        """Without words of which no bytes are told (zeros)."""
+        told = low > 0
+        slots = self._slots(low[told], high[told])
+        last = np.zeros(len(self.place), np.int64)
+        last[slots] = np.arange(len(slots))
+        last = last[slots]  # one word for words that share a slot
+        self.low[slots], self.high[slots], self.place[slots] = low[told][last], high[told][last], places[told][last]
+
+
+def _first_bytes(data: bytes, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes 1 to 8 and 9 to 16 of words, as numbers; zeros for longer words, and for all if there are zero bytes."""
+    if b"\0" in data:
+        return np.zeros(len(begins), np.uint64), np.zeros(len(begins), np.uint64)
+    at = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+    short = sizes <= 16
+    low = at[begins] & _FIRST_BYTES[np.where(short, np.minimum(sizes, 8), 0)]
+    return low, at[begins + 8] & _FIRST_BYTES[np.where(short, np.maximum(sizes, 8) - 8, 0)]
+
+
 class LetterRuns(WordCache):
     """Pieces of runs of letters, digits and marks.
 
     They need not be those of the file's own library, which normalises characters. Different words have different
-    ids, also where bytes are no UTF-8.
+    ids, also where bytes are no UTF-8. Words are cut and short ones looked up many at a time.
     """
 
+    most_words = 400_000
+
     def __init__(self, path: str):
         super().__init__()
         self.runs = Runs(path)
         self.size, self.end_id = self.runs.size, self.runs.end_id
 
+    def _empty(self) -> None:
+        super()._empty()
+        self.short = ShortWords()
+
+    def words(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        data = b"\n".join([b"", *texts, b" " * 16]).lower()
+        raw = np.frombuffer(data, np.uint8)
+        space = (raw == 32) | (raw - np.uint8(9) < 5)
+        edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+        begins, ends = edges[::2], edges[1::2]
+        first = np.searchsorted(begins, np.cumsum([1, *(len(t) + 1 for t in texts)]))
+        low, high = _first_bytes(data, begins, ends - begins)
+        at = self.short(low, high)
+        while True:
+            missing = np.flatnonzero(at < 0)
+            flat = [data[b:e] for b, e in zip(begins[missing].tolist(), ends[missing].tolist(), strict=True)]
+            found = np.fromiter(map(self.place.get, flat, repeat(-1)), np.int64, len(flat))
+            new = np.flatnonzero(found < 0)
+            unknown = [flat[i] for i in new.tolist()]
+            distinct = list(dict.fromkeys(unknown))
+            if not distinct or not self.place or len(self.place) + len(distinct) <= self.most_words:
+                break
+            self._empty()
+            at[:] = -1
+        if distinct:
+            self._learn(distinct)
+            found[new] = np.fromiter(map(self.place.__getitem__, unknown), np.int64, len(unknown))
+        at[missing] = found
+        self.short.hold(low[missing], high[missing], found)
+        return at, first
+
     def _encode_new(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         text = b"\n".join(words).decode("utf-8", "surrogateescape")
         if _ODD.search(text):
             text = text.translate(_ESCAPED)
-        return self.runs.encode([w if w.isalpha() else WORD_END.join(_RUNS.findall(w)) for w in text.split("\n")])
+        told = text.split("\n")
+        runs = np.ones(len(told), np.int64)
+        for i in [i for i, w in enumerate(told) if not w.isalpha()]:
+            parts = _RUNS.findall(told[i])
+            told[i], runs[i] = WORD_END.join(parts), len(parts)
+        return self.runs.encode(told, runs)
 
 
 def _byte_letters() -> dict[int, str]:
